@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..plans.pipeline import run_pipeline
 from ..session import fresh_path, materialise
-from ..sources.files import read_table
+from ..sources.files import read_table, spread
 
 SCALE = 2
 
@@ -46,7 +46,7 @@ def grouped(c: Column) -> Column:
 
 
 def orders_customers(spark: SparkSession, sf: str) -> DataFrame:
-    orders = read_table(spark, sf, "orders")
+    orders = spread(read_table(spark, sf, "orders"))
     customer = read_table(spark, sf, "customer").select(
         "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment"
     )
@@ -137,7 +137,7 @@ def raw_access(spark: SparkSession, sf: str) -> DataFrame:
     )
     supplier = read_table(spark, sf, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
     part = read_table(spark, sf, "part").select("p_partkey", "p_brand", "p_type", "p_size")
-    base = line.join(supplier, line.l_suppkey == supplier.s_suppkey).join(
+    base = spread(line).join(supplier, line.l_suppkey == supplier.s_suppkey).join(
         part, line.l_partkey == part.p_partkey
     )
     date, flag, state = F.col("l_shipdate"), F.col("l_returnflag"), F.col("l_linestatus")

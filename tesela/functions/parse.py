@@ -32,6 +32,10 @@ NUMBER_SHAPE = r"^[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?$"
 GROUPING_POINT = r"(?:^(?=.*,|.*\..*\.|\d{1,3}\.\d{3}$)|(?!^)\G)([^.]*)\."
 
 
+# Common plain form: needs none of the rewriting and cannot be read in two ways.
+PLAIN_NUMBER = r"^[-+]?\d{1,15}(?:\.(?:\d{1,2}|\d{4,15}))?$"
+
+
 def parse_number(c: Column | str) -> Column:
     """Double from text written with either decimal mark.
 
@@ -39,14 +43,17 @@ def parse_number(c: Column | str) -> Column:
     points are read as grouping when they cannot be a decimal mark.  `NaN`, infinities, suffixed
     literals such as `1d` and numbers beyond the double range are null.
 
-    The steps form a chain that names its input once.  A filter on the result is copied below
-    the projection by the optimizer, and a branching form would multiply with every copy until
-    the generated code is too large to compile.
+    The rewriting is a chain that names its input once.  The optimizer copies filters on the
+    result below the projection, and a branching form would multiply with every copy until the
+    generated code is too large to compile.
     """
-    text = F.translate(F.trim(as_col(c).cast("string")), DOT_LOOKALIKES, "." * len(DOT_LOOKALIKES))
+    trimmed = F.trim(as_col(c).cast("string"))
+    text = F.translate(trimmed, DOT_LOOKALIKES, "." * len(DOT_LOOKALIKES))
     plain = F.translate(F.regexp_replace(text, GROUPING_POINT, "$1"), ",", ".")
     value = F.regexp_extract(plain, NUMBER_SHAPE, 0).try_cast("double")
-    return F.when(F.abs(value) < float("inf"), value)
+    return F.when(trimmed.rlike(PLAIN_NUMBER), trimmed.try_cast("double")).when(
+        F.abs(value) < float("inf"), value
+    )
 
 
 def parse_columns(df, columns: list[str]):

@@ -74,10 +74,13 @@ def global_row_number(df: DataFrame, order: str, tie: str, out: str) -> DataFram
     )
 
 
-def global_ntile(df: DataFrame, n: int, order: str, tie: str, out: str) -> DataFrame:
+def global_ntile(
+    df: DataFrame, n: int, order: str, tie: str, out: str, row_number: str | None = None
+) -> DataFrame:
     """`ntile(n)` over the whole table; the first tiles take the remainder."""
-    numbered = global_row_number(df, order, tie, "__rn")
-    at = F.col("__rn") - 1
+    position = row_number or "__rn"
+    numbered = global_row_number(df, order, tie, position)
+    at = F.col(position) - 1
     size = F.floor(F.col("__total") / n)
     extra = F.col("__total") % n
     wide = extra * (size + 1)
