@@ -1 +1,170 @@
-"""Placeholder."""
+"""Queries for encoders, clustering and score models."""
+
+from __future__ import annotations
+
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
+from pyspark.sql import functions as F
+
+from ..anomaly import scaling
+from ..ml import features as mlf
+from ..ml import models
+from ..ml.metrics import regression_metrics
+from ..operators.sampling import tag_split
+from ..plans import contract as C
+from ..plans import dataset
+from ..session import fresh_path, materialise
+from ..sources.files import read_table
+from . import roles
+from .registry import query
+
+ID = "estu_consecutivo"
+
+
+def _table(spark, sf):
+    return dataset.model_table(roles.students(spark, sf), roles.levels(spark, sf), ID)
+
+
+def _profiling(spark, sf):
+    return dataset.profiling_table(roles.students(spark, sf), roles.levels(spark, sf), ID)
+
+
+@query("encode_index")
+def encode_index(spark, sf):
+    orders = read_table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    indexer = StringIndexer(
+        inputCols=["o_orderstatus", "o_orderpriority"],
+        outputCols=["status_idx", "priority_idx"],
+        handleInvalid="keep",
+    )
+    return indexer.fit(orders).transform(orders)
+
+
+@query(
+    "encode_index_sql",
+    """SELECT o_orderkey, o_orderpriority, idx FROM orders JOIN (
+      SELECT o_orderpriority, (row_number() OVER (ORDER BY count(*) DESC, o_orderpriority) - 1)::INTEGER
+        AS idx FROM orders GROUP BY 1) USING (o_orderpriority)""",
+)
+def encode_index_sql(spark, sf):
+    orders = read_table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    return mlf.frequency_index(orders, "o_orderpriority", "idx")
+
+
+@query("encode_onehot")
+def encode_onehot(spark, sf):
+    indexed = encode_index(spark, sf)
+    hot = OneHotEncoder(inputCols=["priority_idx"], outputCols=["hot"], handleInvalid="keep")
+    return models.vector_as_array(hot.fit(indexed).transform(indexed), "hot")
+
+
+@query("imputer_median")
+def imputer_median(spark, sf):
+    orders = read_table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_totalprice")).alias("price"),
+        F.lit(None).cast("double").alias("nothing"),
+    )
+    usable = mlf.with_values(orders, ["price", "nothing"])
+    return mlf._imputer(usable).fit(orders).transform(orders)
+
+
+@query(
+    "scale_std",
+    """SELECT event_id, round(value / (SELECT stddev_samp(value) FROM events), 8) AS scaled
+    FROM events""",
+)
+def scale_std(spark, sf):
+    events = read_table(spark, sf, "events").select("event_id", "value")
+    (deviation,) = events.agg(F.stddev_samp("value")).first()
+    return events.select(
+        "event_id", F.round(F.col("value") / F.lit(deviation or 1.0), 8).alias("scaled")
+    )
+
+
+@query(
+    "zscore_train_stats",
+    """WITH t AS (SELECT avg(value) AS m, stddev_pop(value) AS s FROM events
+      WHERE ('0x' || substr(md5('42' || event_id::VARCHAR), 1, 8))::BIGINT < 3006477107)
+    SELECT event_id, round((value - m) / s, 8) AS value, 0.0::DOUBLE AS flat FROM events, t""",
+)
+def zscore_train_stats(spark, sf):
+    events = read_table(spark, sf, "events").select(
+        "event_id", "value", F.lit(7.0).alias("flat")
+    )
+    tagged = tag_split(events, "event_id")
+    stats = scaling.train_stats(tagged.where(F.col("split") == "train"), ["value", "flat"])
+    return scaling.zscore(events, stats, digits=8)
+
+
+@query(
+    "regression_metrics",
+    """SELECT round(sqrt(sum(e * e) / count(*)), 4) AS rmse, round(avg(abs(e)), 4) AS mae,
+      round(1 - sum(e * e) / (var_pop(y) * count(*)), 4) AS r2, count(*) AS n_test
+    FROM (SELECT l_extendedprice AS y, l_extendedprice - l_quantity * 2000 AS e FROM lineitem)""",
+)
+def regression_metrics_(spark, sf):
+    line = read_table(spark, sf, "lineitem").select(
+        F.col("l_extendedprice").alias("label"), (F.col("l_quantity") * 2000).alias("prediction")
+    )
+    return regression_metrics(line)
+
+
+@query("kmeans_elbow")
+def kmeans_elbow(spark, sf):
+    return models.elbow(models.cluster_features(_profiling(spark, sf)))
+
+
+@query("kmeans_profiles")
+def kmeans_profiles(spark, sf):
+    features = models.cluster_features(_profiling(spark, sf))
+    k = models.best_k(models.elbow(features, max_k=4))
+    table = models.cluster_profile(models.assign_clusters(features, k))
+    return table.withColumn("perfil", models.profile_label())
+
+
+@query("cluster_profile")
+def cluster_profile(spark, sf):
+    features = models.cluster_features(_profiling(spark, sf))
+    return models.cluster_profile(models.assign_clusters(features, 3))
+
+
+@query("rf_importance")
+def rf_importance(spark, sf):
+    importance, _ = models.forest_importance(_profiling(spark, sf), C.SCORE, ID)
+    return importance
+
+
+@query("gbt_scores")
+def gbt_scores(spark, sf):
+    _, metrics = models.fit_all_scores(
+        materialise(_table(spark, sf), "model-table"), ID, [C.SCORE, "punt_ingles"]
+    )
+    return metrics
+
+
+@query("score_new_rows")
+def score_new_rows(spark, sf):
+    """A short boosting run; its model scores all students, as a batch of new rows."""
+    table = materialise(_table(spark, sf), "model-table")
+    model, _ = models.fit_score_model(table, C.SCORE, ID, rounds=5)
+    rows = dataset.model_table(
+        roles.students(spark, sf).drop(*C.SCORES), roles.levels(spark, sf), ID
+    )
+    return model.predict(rows).select(ID, "prediction")
+
+
+@query("model_roundtrip")
+def model_roundtrip(spark, sf):
+    """Save and load a fitted pipeline; both score all students, differences are counted."""
+    table = materialise(_table(spark, sf), "model-table")
+    model, _ = models.fit_score_model(table, C.SCORE, ID, rounds=3)
+    path = model.save(fresh_path(spark, "model"))
+    again = models.ScoreModel.load(path, model.target, model.numeric)
+    a = model.predict(table).select(ID, F.col("prediction").alias("before"))
+    b = again.predict(table).select(ID, F.col("prediction").alias("after"))
+    return a.join(b, ID).agg(
+        F.count("*").alias("n"),
+        F.sum((F.col("before") != F.col("after")).cast("int")).alias("n_different"),
+    )
+
+
