@@ -73,17 +73,27 @@ def _rows(pdf: pd.DataFrame) -> np.ndarray:
     return np.stack(pdf["x"].to_numpy()).astype(np.float64)
 
 
-def _epoch(state: np.ndarray, steps: float, sizes: list[int], seed: int):
-    """Local training of one partition: state (weights, two moments) in, state out."""
+def _epoch(state: np.ndarray, steps: float, sizes: list[int], seed: int, learn: bool):
+    """One pass over one partition, from the shared state (weights and two moments).
+
+    Training rows move the local state; validation rows are judged by the weights as they came.
+    The pass returns sums, so that partitions can be added up."""
     p = len(state) // 3
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        w, m, v = state[:p].copy(), state[p : 2 * p].copy(), state[2 * p :].copy()
-        rng, t, n, loss = np.random.default_rng(seed), steps, 0, 0.0
+        start = state[:p]
+        w, m, v = start.copy(), state[p : 2 * p].copy(), state[2 * p :].copy()
+        rng, t = np.random.default_rng(seed), steps
+        n, loss, n_val, loss_val = 0, 0.0, 0, 0.0
         for pdf in batches:
-            if pdf.empty:
+            judged, taken = pdf[pdf["v"]], pdf[~pdf["v"]]
+            if len(judged):
+                x = _rows(judged)
+                loss_val += float(np.sum((forward(start, x, sizes)[-1] - x) ** 2)) / x.shape[1]
+                n_val += len(x)
+            if not learn or taken.empty:
                 continue
-            x = _rows(pdf)
+            x = _rows(taken)
             x = x[rng.permutation(len(x))]
             for at in range(0, len(x), BATCH):
                 part = x[at : at + BATCH]
@@ -96,24 +106,8 @@ def _epoch(state: np.ndarray, steps: float, sizes: list[int], seed: int):
                 w = w - RATE * step
                 n += len(part)
                 loss += value * len(part)
-        if n:
-            yield pd.DataFrame(
-                {"n": [n], "loss": [loss], "steps": [t], "state": [np.concatenate([w, m, v])]}
-            )
-
-    return run
-
-
-def _loss(w: np.ndarray, sizes: list[int]):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n, loss = 0, 0.0
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            x = _rows(pdf)
-            loss += float(np.sum((forward(w, x, sizes)[-1] - x) ** 2)) / x.shape[1]
-            n += len(x)
-        yield pd.DataFrame({"n": [n], "loss": [loss]})
+        sums = np.concatenate([n * w, n * m, n * v, [loss, n * t, n, loss_val, n_val]])
+        yield pd.DataFrame({"sums": [sums]})
 
     return run
 
@@ -159,47 +153,31 @@ def train_network(
     epoch are kept; `keep_best` keeps those with the least validation loss.
     """
     data = df.select(F.col(x).alias("x"), F.col(is_val).alias("v"))
-    train, val = data.where(~F.col("v")).select("x"), data.where("v").select("x")
-    d = len(train.first()["x"])
-    sizes = layer_sizes(d, code)
+    sizes = layer_sizes(len(data.first()["x"]), code)
     w = start_weights(sizes, seed)
     state, steps = np.concatenate([w, np.zeros(2 * len(w))]), 0.0
-    model, best, waited = Reconstruction(sizes, w), float("inf"), 0
-    for epoch in range(1, epochs + 1):
-        local = train.mapInPandas(
-            _epoch(state, steps, sizes, seed + epoch),
-            "n long, loss double, steps double, state array<double>",
+    model, best, waited, train_loss = Reconstruction(sizes, w), float("inf"), 0, float("nan")
+    # One job per epoch: pass e trains from the weights of epoch e - 1 and also judges them.  The
+    # pass after the last epoch only judges.
+    for epoch in range(1, epochs + 2):
+        passed = data.mapInPandas(
+            _epoch(state, steps, sizes, seed + epoch, epoch <= epochs), "sums array<double>"
         )
-        # The average is taken on the executors, one group per number of the state; loss and
-        # step count travel as two more positions.
-        sums = (
-            local.select(
-                "n",
-                F.posexplode(
-                    F.concat("state", F.array(F.col("loss") / F.col("n"), F.col("steps")))
-                ).alias("i", "v"),
-            )
-            .groupBy("i")
-            .agg((F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("mean"))
-        )
-        averaged = np.array([r["mean"] for r in sums.orderBy("i").collect()])
-        state, train_loss, steps = averaged[:-2], float(averaged[-2]), float(averaged[-1])
-        w = state[: len(w)]
-        row = val.mapInPandas(_loss(w, sizes), "n long, loss double").agg(
-            F.sum("loss"), F.sum("n")
-        ).first()
-        val_loss = float(row[0] / row[1]) if row[1] else float("nan")
-        model.history.append((epoch, train_loss, val_loss))
-        if val_loss < best:
-            best, waited = val_loss, 0
-            if keep_best:
-                model.weights = w
-        else:
-            waited += 1
-        if not keep_best:
-            model.weights = w
-        if waited >= patience:
-            break
+        # Partitions are added up on the executors, one group per number of the state.
+        added = passed.select(F.posexplode("sums").alias("i", "v")).groupBy("i").agg(F.sum("v"))
+        total = np.array([r[1] for r in sorted(added.collect())])
+        loss, step_sum, n, loss_val, n_val = total[-5:]
+        if epoch > 1:
+            val_loss = float(loss_val / n_val) if n_val else float("nan")
+            model.history.append((epoch - 1, train_loss, val_loss))
+            improved = val_loss < best
+            if improved or not keep_best:
+                model.weights = state[: len(w)]
+            best, waited = (val_loss, 0) if improved else (best, waited + 1)
+            if waited >= patience:
+                break
+        if n:
+            state, steps, train_loss = total[:-5] / n, float(step_sum / n), float(loss / n)
     return model
 
 

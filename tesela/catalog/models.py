@@ -136,9 +136,7 @@ def rf_importance(spark, sf):
 
 @query("gbt_scores")
 def gbt_scores(spark, sf):
-    _, metrics = models.fit_all_scores(
-        materialise(_table(spark, sf), "model-table"), ID, [C.SCORE, "punt_ingles"]
-    )
+    _, metrics = models.fit_all_scores(materialise(_table(spark, sf), "model-table"), ID)
     return metrics
 
 
