@@ -23,6 +23,8 @@ from .columns import to_long
 # about 1/RANGES of the distinct values.
 RANGES = 256
 SKETCH = 10_000
+# Up to this many pairs, which are counted first, one task may hold them all.
+FEW_PAIRS = 200_000
 
 
 def range_bounds(df: DataFrame, value: str, size: int = RANGES) -> list[float]:
@@ -71,7 +73,17 @@ def range_offsets(ranged: DataFrame, by: list[str]) -> DataFrame:
 def cumulative_counts(counts: DataFrame, by: list[str], keep_ranges=None) -> DataFrame:
     """Value counts with `__before`, the rows of the group with a smaller value.
 
-    `keep_ranges` filters the offsets table and with it the ranges that are looked at."""
+    `keep_ranges` filters the offsets table and with it the ranges that are looked at.  Few
+    pairs need no ranges: the count, read from the file footers, decides."""
+    if counts.count() <= FEW_PAIRS:
+        group = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
+        smaller = group.orderBy("__value").rowsBetween(W.unboundedPreceding, -1)
+        return counts.withColumns(
+            {
+                "__before": F.coalesce(F.sum("__n").over(smaller), F.lit(0)),
+                "__total": F.sum("__n").over(group),
+            }
+        )
     ranged = add_range(counts, "__value", range_bounds(counts, "__value"), "__range")
     offsets = range_offsets(ranged, by)
     if keep_ranges is not None:
