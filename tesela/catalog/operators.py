@@ -293,7 +293,7 @@ def share_lump_other(spark, sf):
 
 @query(
     "pivot_gap",
-    f"""SELECT o_orderpriority, "F", "O", round("F" - "O", 4) AS gap FROM (
+    f"""SELECT o_orderpriority, "F", "O", round("F" - "O", 5) AS gap FROM (
       SELECT o_orderpriority,
         round({mean("CASE WHEN o_orderstatus = 'F' THEN o_totalprice END")}, 5) AS "F",
         round({mean("CASE WHEN o_orderstatus = 'O' THEN o_totalprice END")}, 5) AS "O"
@@ -304,7 +304,7 @@ def pivot_gap(spark, sf):
     table = agg.pivot_means(
         orders, "o_orderpriority", "o_orderstatus", ["F", "O"], "o_totalprice", digits=5, scale=2
     )
-    return table.withColumn("gap", F.round(F.col("F") - F.col("O"), 4))
+    return table.withColumn("gap", F.round(F.col("F") - F.col("O"), 5))
 
 
 SEGMENTS = ["MACHINERY", "AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"]

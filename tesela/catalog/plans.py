@@ -186,7 +186,7 @@ def q3_speed_by_tercile(spark, sf):
 
 
 GAP = f"""SELECT nivel_conectividad_municipio, "OFICIAL", "NO OFICIAL",
-      round("NO OFICIAL" - "OFICIAL", 4) AS brecha
+      round("NO OFICIAL" - "OFICIAL", 5) AS brecha
     FROM (SELECT nivel_conectividad_municipio,
       round({mean("CASE WHEN cole_naturaleza = 'OFICIAL' THEN punt_global END")}, 5) AS "OFICIAL",
       round({mean("CASE WHEN cole_naturaleza = 'NO OFICIAL' THEN punt_global END")}, 5)
@@ -196,10 +196,9 @@ GAP = f"""SELECT nivel_conectividad_municipio, "OFICIAL", "NO OFICIAL",
 
 
 def _gap(spark, sf):
-    table = questions.school_gap(
+    return questions.school_gap(
         roles.students(spark, sf), roles.levels(spark, sf), digits=DIGITS, scale=SCALE
     )
-    return table.withColumn("brecha", F.round("brecha", 4))
 
 
 query("q4_gap_by_level", with_(ALL_TABLES) + GAP)(_gap)
@@ -272,13 +271,12 @@ def _areas() -> str:
 @query(
     "q7_gap_by_subject",
     with_(ALL_TABLES, f"j AS MATERIALIZED (SELECT * FROM {FANOUT})")
-    + f"SELECT *, round(alta - baja, 4) AS brecha FROM ({_areas()})",
+    + f"SELECT *, round(alta - baja, 5) AS brecha FROM ({_areas()})",
 )
 def q7_gap_by_subject(spark, sf):
-    table = questions.subject_gap(
+    return questions.subject_gap(
         roles.students(spark, sf), roles.levels(spark, sf), digits=5, scale=6
     )
-    return table.withColumn("brecha", F.round("brecha", 4))
 
 
 ZONED = """zoned AS (SELECT *, CASE WHEN cole_area_ubicacion IN ('URBANO', 'URBANA') THEN 'URBANO'
