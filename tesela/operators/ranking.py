@@ -29,11 +29,28 @@ def average_rank_pct(
     return attach(keyed, ranks, [*by, "__value"]).drop("__value")
 
 
+def order_number(df: DataFrame, column: str) -> Column:
+    """A number that never falls where the column rises, to cut ranges of the column by.
+
+    Of a text it is made from the six bytes after the part that all texts have in common, found
+    from the least and the greatest text."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.NumericType):
+        return F.col(column).cast("double")
+    if not isinstance(kind, T.StringType):
+        raise ValueError(f"{column} must hold numbers or texts")
+    ends = df.agg(F.min(column), F.max(column)).first()
+    low, high = ((end or "").encode() for end in ends)
+    shared = next((i for i, (a, b) in enumerate(zip(low, high)) if a != b), min(len(low), len(high)))
+    bytes_ = F.substring(F.encode(column, "UTF-8"), shared + 1, 6)
+    return F.conv(F.rpad(F.hex(bytes_), 12, "0"), 16, 10).cast("double")
+
+
 def global_row_number(df: DataFrame, order: str, tie: str, out: str) -> DataFrame:
     """Row number over the whole table by (`order`, `tie`), nulls first.
 
     Rows are cut into ranges of the sort column.  A value frequent enough to be a range bound
-    gets a range of its own, which is cut again by the tie column when that is numeric.  Each
+    gets a range of its own, which is cut again by the tie column (a number or a text).  Each
     range is numbered by itself and moved by the rows before it.  Ranges depend on the values
     only, so a recomputed task numbers its rows as before.
     """
@@ -45,14 +62,11 @@ def global_row_number(df: DataFrame, order: str, tie: str, out: str) -> DataFram
     place = F.when(F.col("__v").isNull(), -1).otherwise(2 * F.col("__at") + after_bound)
     ranged = ranged.withColumn("__range", place.cast("int"))
     single = is_bound | F.col("__v").isNull()
-    if isinstance(df.schema[tie].dataType, T.NumericType):
-        ties = range_bounds(df, tie, TIE_RANGES)
-        ranged = add_range(ranged.withColumn("__t", F.col(tie).cast("double")), "__t", ties, "__in")
-        inner = F.when(single & F.col("__t").isNotNull(), F.col("__in") + 1).otherwise(0)
-        ranged = ranged.withColumn("__sub", inner.cast("int")).drop("__t", "__in")
-    else:
-        ranged = ranged.withColumn("__sub", F.lit(0))
-    ranged = ranged.drop("__at")
+    number = order_number(df, tie)
+    ties = range_bounds(df.select(number.alias("t")), "t", TIE_RANGES)
+    ranged = add_range(ranged.withColumn("__t", number), "__t", ties, "__in")
+    inner = F.when(single & F.col("__t").isNotNull(), F.col("__in") + 1).otherwise(0)
+    ranged = ranged.withColumn("__sub", inner.cast("int")).drop("__t", "__in", "__at")
     # At most (2 * SORT_RANGES + 1) * (TIE_RANGES + 1) rows: small enough for one task and to
     # broadcast, whatever the size of the table.
     before = W.partitionBy(F.lit(0)).orderBy("__range", "__sub")
