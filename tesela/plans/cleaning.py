@@ -9,7 +9,6 @@ typed columns from there.  A statistic comes to the driver as one or two numbers
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions.parse import normalize_code, parse_columns, period_year, year_or_null, yes_no_flag
 from ..functions.classes import speed_class

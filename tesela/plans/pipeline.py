@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..sources.files import write_parquet
-from . import contract as C
 from .cleaning import clean_access, clean_coverage, clean_students
 from .municipal import connectivity
 
@@ -36,6 +35,3 @@ def run_pipeline(
     path = write_parquet(levels, f"{folder}/levels")
     out["levels"] = spark.read.schema(levels.schema).parquet(path)
     return out
-
-
-TABLE_KEYS = {"students": C.STUDENT_YEAR, "access": C.YEAR, "coverage": C.YEAR, "levels": C.YEAR}
