@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, token_counts
+from . import bpe, decontaminate, exact_dedup, token_counts
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,12 +25,57 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+WORDS_SQL = (
+    r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+DECONTAMINATE_SQL = f"""
+WITH d AS (SELECT doc_id, {WORDS_SQL} AS ws FROM documents),
+b AS (SELECT item_id, {WORDS_SQL} AS ws FROM benchmark),
+g AS (
+  SELECT DISTINCT item_id, len, array_to_string(ws[i : i + len - 1], ' ') AS gram
+  FROM (SELECT item_id, ws, least(10, len(ws)) AS len, unnest(range(1, len(ws) - least(10, len(ws)) + 2)) AS i FROM b WHERE len(ws) > 0)),
+p AS (
+  SELECT doc_id, i, l.len, array_to_string(ws[i : i + l.len - 1], ' ') AS gram
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM d), (SELECT DISTINCT len FROM g) AS l
+  WHERE i + l.len - 1 <= len(ws)),
+h AS (SELECT p.doc_id, p.i, p.len, g.item_id FROM p JOIN g ON p.gram = g.gram AND p.len = g.len),
+n AS (SELECT doc_id, count(DISTINCT w) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + len)) AS w FROM h) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+      FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM h) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, CAST(coalesce(n.n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(t.n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(t.items, '')) AS items_sha256,
+  coalesce(n.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN t ON d.doc_id = t.doc_id
+"""
+
+
+@query("op2_decontaminate", DECONTAMINATE_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = (read_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return decontaminate.report(decontaminate.scan(docs, benchmark, n=10))
+
+
 @query("op3_token_counts")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, limit=512)
 
 
+EXACT_SQL = """
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept,
+  sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
+"""
+
+
+@query("op6_exact_dedup", EXACT_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return exact_dedup.duplicates(docs, exact_dedup.first_half())
+
+
 @query("op9_byte_bpe")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
