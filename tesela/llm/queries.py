@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, simhash, token_counts, toxicity
+from . import bpe, decontaminate, exact_dedup, quality, simhash, token_counts, toxicity, urls
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,3 +93,46 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+RULES = [
+    urls.Rule("block", "net/"),
+    urls.Rule("allow", "example.net/en/"),
+    urls.Rule("block", "example.com/de/"),
+    urls.Rule("allow", "org/fr/"),
+]
+
+
+def _terms_sql(terms: str) -> str:
+    return " + ".join(f"CAST(regexp_matches(u, '(^|[^a-z0-9]){t}($|[^a-z0-9])') AS INTEGER)" for t in terms.split())
+
+
+def _rules_sql() -> str:
+    longest = sorted(RULES, key=lambda r: (-len(r.text), r.text))
+    return "\n".join(
+        f"WHEN (host = '{r.host}' OR suffix(host, '.{r.host}')) AND prefix(path, '{r.path}') THEN '{r.verdict} {r.text}'" for r in longest
+    )
+
+
+URLS_SQL = f"""
+WITH l AS (SELECT page_id, coalesce(url, '') AS url,
+  translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS u FROM pages),
+h AS (SELECT page_id, u, regexp_extract(u, '://([^/?#]*)', 1) AS host, regexp_extract(url, '://[^/?#]*([^?#]*)', 1) AS path FROM l),
+t AS (SELECT *, CAST({_terms_sql(urls.STRICT)} AS INTEGER) AS strict_terms, CAST({_terms_sql(urls.SOFT)} AS INTEGER) AS soft_terms FROM h),
+r AS (SELECT *, CASE {_rules_sql()} END AS best FROM t)
+SELECT page_id, host, path, split_part(best, ' ', 2) AS rule,
+  coalesce(split_part(best, ' ', 1), CASE WHEN strict_terms > 0 OR soft_terms >= {urls.SOFT_LIMIT} THEN 'block' ELSE 'allow' END) AS verdict,
+  strict_terms, soft_terms
+FROM r
+"""
+
+
+@query("op7_url_filter", URLS_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(read_table(spark, sf_dir, "pages"), RULES)
+
+
+@query("op10_quality")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (read_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    return quality.score_documents(docs, labels, part=1, of=3)
