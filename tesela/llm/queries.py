@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, quality, simhash, token_counts, toxicity, urls
+from . import bpe, decontaminate, exact_dedup, licenses, quality, repeats, simhash, token_counts, toxicity, urls
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +95,30 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+TEMPLATE_ROWS = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in licenses.TEMPLATES)
+
+LICENSES_SQL = f"""
+WITH t AS (SELECT name, list_distinct([ws[i : i + 1] FOR i IN range(1, len(ws))]) AS g FROM (SELECT name, {WORDS_SQL} AS ws FROM (VALUES {TEMPLATE_ROWS}) AS v(name, text))),
+l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS text FROM documents),
+g AS (SELECT doc_id, line, list_distinct([ws[i : i + 1] FOR i IN range(1, len(ws))]) AS g
+      FROM (SELECT doc_id, row_number() OVER () AS line, {WORDS_SQL} AS ws FROM l)),
+m AS (SELECT g.doc_id, g.line, t.name, 2 * len(list_intersect(g.g, t.g)) / (len(g.g) + len(t.g)) AS dice FROM g, t WHERE len(g.g) BETWEEN len(t.g) / 2 AND 2 * len(t.g)),
+b AS (SELECT doc_id, line, arg_min(name, (-dice, name)) AS name, max(dice) AS dice FROM m WHERE dice >= {licenses.THRESHOLD} GROUP BY doc_id, line)
+SELECT d.doc_id, count(b.line) AS n_lines, coalesce(string_agg(DISTINCT b.name, ',' ORDER BY b.name), '') AS licenses, coalesce(max(b.dice), 0.0) AS best_dice
+FROM documents d LEFT JOIN b ON d.doc_id = b.doc_id GROUP BY d.doc_id
+"""
+
+
+@query("op4_license_scan", LICENSES_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read_table(spark, sf_dir, "documents"))
+
+
+@query("op8_substring_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.report(repeats.repeated_sentences(read_table(spark, sf_dir, "documents")))
+
+
 RULES = [
     urls.Rule("block", "net/"),
     urls.Rule("allow", "example.net/en/"),
