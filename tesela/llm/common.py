@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from tesela.session import fresh_path, materialise
 
-__all__ = ["drop_folder", "fresh_path", "materialise", "read_table", "text_of", "travels_by_value", "whole_number"]
+__all__ = ["drop_folder", "fresh_path", "materialise", "read_table", "sized", "text_digest", "text_of", "whole_number"]
+
+#: Up to so many rows of a few short columns are broadcast; more are joined by shuffling.
+BROADCAST_ROWS = 500_000
 
 
 def travels_by_value() -> None:
@@ -35,6 +38,15 @@ def whole_number(column: str = "doc_id") -> Column:
     return F.col(f"`{column}`").cast("long")
 
 
+def text_digest(column: str = "text") -> Column:
+    return F.sha2(text_of(column), 256)
+
+
+def sized(table: DataFrame, rows: int | None = None) -> DataFrame:
+    """A written table of short rows, to be broadcast if it has at most `rows` of them."""
+    return F.broadcast(table) if table.count() <= (BROADCAST_ROWS if rows is None else rows) else table
+
+
 def drop_folder(spark: SparkSession, table: DataFrame) -> None:
     """Delete the files of a table written by `materialise` that nothing reads any more."""
     jvm = spark.sparkContext._jvm

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, text_of, whole_number
+from .common import materialise, sized, text_digest, text_of, whole_number
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A word: anything but ASCII control, blank and punctuation characters (after lower-casing).
@@ -56,7 +56,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = 10, digest: bool = Fals
         whole_number(key).alias("doc_id"),
         words_of(text).alias("words"),
         F.monotonically_increasing_id().alias("row"),
-        *([text_key(text).alias("text_key")] if digest else []),
+        *([text_digest(text).alias("text_key")] if digest else []),
     ).withColumn("n_words", F.size("words"))
     if digest:
         same.append("text_key")
@@ -126,24 +126,21 @@ def report(scanned: DataFrame) -> DataFrame:
     )
 
 
-def text_key(text: str = "text") -> Column:
-    return F.sha2(text_of(text), 256)
-
-
 def _hit_texts(docs: DataFrame, benchmark: DataFrame, n: int) -> DataFrame:
     """One row for each key and text that is hit: _key and _hits."""
     hit = scan(docs, benchmark, n, digest=True).where(F.size("hits") > 0)
     key = F.struct("doc_id", "text_key")
-    return hit.groupBy(key.alias("_key")).agg(F.first("hits").alias("_hits"))
+    return materialise(hit.groupBy(key.alias("_key")).agg(F.first("hits").alias("_hits")), "hit-texts")
 
 
 def _row_key() -> Column:
-    return F.struct(whole_number().alias("doc_id"), text_key().alias("text_key"))
+    return F.struct(whole_number().alias("doc_id"), text_digest().alias("text_key"))
 
 
 def drop_documents(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
     """The rows of `docs`, with all columns, whose texts hold no window of the benchmark."""
-    return docs.join(_hit_texts(docs, benchmark, n), _row_key() == F.col("_key"), "left_anti")
+    hit = sized(_hit_texts(docs, benchmark, n).select("_key"))
+    return docs.join(hit, _row_key() == F.col("_key"), "left_anti")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:

@@ -15,12 +15,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, text_of, whole_number
+from .common import materialise, sized, text_digest, text_of, whole_number
 
 #: Digests for one filter; the number of filters grows with the snapshot.
 FILTER_KEYS = 32_768
-#: Up to so many repeated digests (some 60 bytes each) are broadcast for the byte check.
-BROADCAST_DIGESTS = 1_000_000
 
 FILTER = "bucket bigint, seed bigint, segment bigint, span bigint, table binary"
 
@@ -198,9 +196,7 @@ def duplicates(
     groups = materialise(met.unionByName(screened.where("not maybe").drop("maybe")), "groups")
 
     # Byte check: the different texts of each repeated digest.
-    repeated = groups.where("n > 1").select("digest")
-    if repeated.count() <= BROADCAST_DIGESTS:
-        repeated = F.broadcast(repeated)
+    repeated = sized(materialise(groups.where("n > 1").select("digest"), "repeated"))
     texts = docs.select(whole_number().alias("doc_id"), digest(text).alias("digest"), text.alias("text")).join(repeated, "digest", "left_semi")
     several = texts.groupBy("digest", "text").agg(F.lit(1)).groupBy("digest").count().where("count > 1").select("digest")
     several = materialise(several, "collisions")
@@ -234,15 +230,14 @@ def first_half() -> Column:
 
 
 def drop_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` that stay, with all columns."""
-    kept = duplicates(docs, first_half()).where("kept")
-    kept = materialise(kept.select(F.struct("doc_id", "text_sha256").alias("_key")), "kept")
-    key = F.struct(whole_number().alias("doc_id"), F.sha2(text_of(), 256).alias("text_sha256"))
-    left = docs.join(kept, key == F.col("_key"), "left_semi")
-    # Rows equal in id and text: one of them stays.
-    repeats = materialise(left.groupBy(key.alias("_key")).count().where("count > 1").select("_key"), "repeats")
+    """The rows of `docs` that stay, with all columns; of rows equal in id and text, one."""
+    key = F.struct(whole_number().alias("doc_id"), text_digest().alias("text_sha256"))
+    found = duplicates(docs, first_half()).groupBy(F.struct("doc_id", "text_sha256").alias("_key"))
+    found = materialise(found.agg(F.max("kept").alias("kept"), F.count("*").alias("n")).where("not kept or n > 1"), "dropped")
+    left = docs.join(sized(materialise(found.where("not kept").select("_key"), "gone")), key == F.col("_key"), "left_anti")
+    repeats = materialise(found.where("kept").select("_key"), "repeats")
     if repeats.isEmpty():
         return left
-    single = left.join(repeats, key == F.col("_key"), "left_anti")
-    one = left.join(repeats, key == F.col("_key"), "left_semi").withColumn("_key", key).dropDuplicates(["_key"]).drop("_key")
+    single = left.join(sized(repeats), key == F.col("_key"), "left_anti")
+    one = left.join(sized(repeats), key == F.col("_key"), "left_semi").withColumn("_key", key).dropDuplicates(["_key"]).drop("_key")
     return single.unionByName(one)

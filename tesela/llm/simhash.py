@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, text_of, whole_number
+from .common import materialise, sized, text_of, whole_number
 from .components import components
 
 #: The generator polynomial of the cyclic (23, 12) Golay code.
@@ -185,4 +185,4 @@ def keep_first(docs: DataFrame, width: int = 4, most: int = 4) -> DataFrame:
     """The rows of `docs`, all columns, with the smallest id of their component.  Rows with null
     ids stay: there is no telling which of them is the first."""
     rest = near_duplicates(docs, width, most).where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(rest, whole_number() == F.col("_gone"), "left_anti")
+    return docs.join(sized(materialise(rest, "gone")), whole_number() == F.col("_gone"), "left_anti")
