@@ -119,7 +119,7 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     gone = gone.groupBy(F.col("doc_id").alias("_id")).agg(F.first("removed").alias("_removed"))
 
     @F.udf("string")
-    def without(text: str, removed: list[int]) -> str:
+    def without(text, removed):
         if text is None or not removed:
             return text
         out = set(removed)
