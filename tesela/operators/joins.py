@@ -4,30 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-
-# Parts into which every key is dealt by `attach`.
-SALTS = 8
 
 
 def attach(fact: DataFrame, dim: DataFrame, on: list[str], how: str = "left") -> DataFrame:
     """Equi-join of a large table with a much smaller one that is looked up by `on`.
 
-    No broadcast is forced: adaptive execution measures `dim` and broadcasts it only when it is
-    below `spark.sql.autoBroadcastJoinThreshold`.  Above that a sort-merge join runs.  There a
-    key may hold a third of `fact`, so its rows are dealt over SALTS parts and `dim` is repeated
-    for each part.  The part follows from the row and, so that copies of one row are dealt out
-    too, from the number of the input task; a task that runs again deals as before.
+    A plain join, so filters and column choices above it reach both scans.  Adaptive execution
+    measures `dim` and broadcasts it if it is below `spark.sql.autoBroadcastJoinThreshold`; else
+    it sorts and merges, and splits the partitions of keys that hold much of `fact`.  It can only
+    split what was shuffled for the join itself: rebalancing `dim` first, a small shuffle, keeps
+    an aggregate on the same key from being joined where it was made.
     """
     if how not in ("left", "inner"):
         raise ValueError("attach joins left or inner")
-    hashable = [f.name for f in fact.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    dealt = F.pmod(F.xxhash64(*hashable), F.lit(SALTS)) + F.spark_partition_id()
-    part = (dealt % SALTS).cast("int")
-    every = F.explode(F.array(*[F.lit(i) for i in range(SALTS)]))
-    salted = dim.withColumn("__part", every)
-    return fact.withColumn("__part", part).join(salted, [*on, "__part"], how).drop("__part")
+    return fact.join(dim.hint("rebalance"), on, how)
 
 
 def left_with_flag(

@@ -4,7 +4,7 @@
 are first reduced to (value, count) pairs, which are written once; the pairs are then cut into
 value ranges of nearly equal numbers of pairs, and ranks follow from the counts of the ranges
 before.  A value that occurs in a third of all rows is still one pair, so it cannot overload a
-task.  Only range bounds (at most RANGES - 1 doubles) come to the driver.
+task.  Only range bounds (doubles, fewer than MOST_RANGES) come to the driver.
 """
 
 from __future__ import annotations
@@ -19,18 +19,22 @@ from pyspark.sql import functions as F
 from ..session import materialise
 from .columns import to_long
 
-# Number of value ranges.  It bounds the offsets table to RANGES rows per group; a task gets
-# about 1/RANGES of the distinct values.
-RANGES = 256
-SKETCH = 10_000
-# Up to this many pairs, which are counted first, one task may hold them all.
-FEW_PAIRS = 200_000
+# Pairs for one range, and how many ranges there are at most: their bounds come to the driver.
+PAIRS_PER_RANGE = 20_000
+MOST_RANGES = 65_536
 
 
-def range_bounds(df: DataFrame, value: str, size: int = RANGES) -> list[float]:
+def ranges_for(rows: int) -> int:
+    """How many ranges a table is cut into: as many as its rows ask for."""
+    return max(1, min(MOST_RANGES, -(-rows // PAIRS_PER_RANGE)))
+
+
+def range_bounds(df: DataFrame, value: str, size: int) -> list[float]:
     """Distinct inner bounds of at most `size` value ranges with about equal numbers of rows."""
     cuts = [i / size for i in range(1, size)]
-    found = df.agg(F.percentile_approx(F.col(value).cast("double"), cuts, SKETCH)).first()[0]
+    if not cuts:
+        return []
+    found = df.agg(F.percentile_approx(F.col(value).cast("double"), cuts, 20 * size)).first()[0]
     return sorted(set(found or []))
 
 
@@ -56,8 +60,8 @@ def value_counts(df: DataFrame, value: str, by: list[str]) -> DataFrame:
 def range_offsets(ranged: DataFrame, by: list[str]) -> DataFrame:
     """Rows in each range, rows before it and rows in total, per group.
 
-    The ranges are shared by all groups, so no group, however large, has more than about
-    1/RANGES of all pairs in one range."""
+    The ranges are shared by all groups, so no group, however large, has more in one range than
+    all groups together: about PAIRS_PER_RANGE pairs."""
     per_range = ranged.groupBy(*by, "__range").agg(F.sum("__n").alias("__rows"))
     group = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
     before = group.orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
@@ -73,18 +77,9 @@ def range_offsets(ranged: DataFrame, by: list[str]) -> DataFrame:
 def cumulative_counts(counts: DataFrame, by: list[str], keep_ranges=None) -> DataFrame:
     """Value counts with `__before`, the rows of the group with a smaller value.
 
-    `keep_ranges` filters the offsets table and with it the ranges that are looked at.  Few
-    pairs need no ranges: the count, read from the file footers, decides."""
-    if counts.count() <= FEW_PAIRS:
-        group = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
-        smaller = group.orderBy("__value").rowsBetween(W.unboundedPreceding, -1)
-        return counts.withColumns(
-            {
-                "__before": F.coalesce(F.sum("__n").over(smaller), F.lit(0)),
-                "__total": F.sum("__n").over(group),
-            }
-        )
-    ranged = add_range(counts, "__value", range_bounds(counts, "__value"), "__range")
+    The number of ranges follows the number of pairs, which the file footers tell.
+    `keep_ranges` filters the offsets table and with it the ranges that are looked at."""
+    ranged = add_range(counts, "__value", range_bounds(counts, "__value", ranges_for(counts.count())), "__range")
     offsets = range_offsets(ranged, by)
     if keep_ranges is not None:
         offsets = keep_ranges(offsets)

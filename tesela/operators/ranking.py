@@ -5,16 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from ..session import materialise
 from .joins import attach
-from .quantiles import add_range, cumulative_counts, range_bounds, value_counts
-
-# Ranges of the sort column and, inside one repeated value, of the tie column.  Their product
-# bounds the offsets table.
-SORT_RANGES = 128
-TIE_RANGES = 64
-
+from .quantiles import cumulative_counts, ranges_for, value_counts
 
 def average_rank_pct(
     df: DataFrame, column: str, out: str, digits: int = 2, by: list[str] | None = None
@@ -29,63 +23,29 @@ def average_rank_pct(
     return attach(keyed, ranks, [*by, "__value"]).drop("__value")
 
 
-def order_number(df: DataFrame, column: str) -> Column:
-    """A number that never falls where the column rises, to cut ranges of the column by.
-
-    Of a text it is made from the six bytes after the part that all texts have in common, found
-    from the least and the greatest text."""
-    kind = df.schema[column].dataType
-    if isinstance(kind, T.NumericType):
-        return F.col(column).cast("double")
-    if not isinstance(kind, T.StringType):
-        raise ValueError(f"{column} must hold numbers or texts")
-    ends = df.agg(F.min(column), F.max(column)).first()
-    low, high = ((end or "").encode() for end in ends)
-    shared = next((i for i, (a, b) in enumerate(zip(low, high)) if a != b), min(len(low), len(high)))
-    bytes_ = F.substring(F.encode(column, "UTF-8"), shared + 1, 6)
-    return F.conv(F.rpad(F.hex(bytes_), 12, "0"), 16, 10).cast("double")
-
-
 def global_row_number(df: DataFrame, order: str, tie: str, out: str) -> DataFrame:
     """Row number over the whole table by (`order`, `tie`), nulls first.
 
-    Rows are cut into ranges of the sort column.  A value frequent enough to be a range bound
-    gets a range of its own, which is cut again by the tie column (a number or a text).  Each
-    range is numbered by itself and moved by the rows before it.  Ranges depend on the values
-    only, so a recomputed task numbers its rows as before.
+    Spark's range partitioning by both columns, of whatever type, deals the rows into ranges
+    whose number follows the number of rows; a value in a third of all rows is cut again by the
+    tie column.  The dealt rows are written once, so that a task that runs again finds the same
+    ranges; each range is numbered by itself and moved by the rows before it.
     """
-    bounds = range_bounds(df, order, SORT_RANGES)
-    v = F.col(order).cast("double")
-    ranged = add_range(df.withColumn("__v", v), "__v", bounds, "__at")
-    is_bound = F.coalesce(F.col("__v").isin(bounds), F.lit(False)) if bounds else F.lit(False)
-    after_bound = F.when(is_bound, 0).otherwise(1)
-    place = F.when(F.col("__v").isNull(), -1).otherwise(2 * F.col("__at") + after_bound)
-    ranged = ranged.withColumn("__range", place.cast("int"))
-    single = is_bound | F.col("__v").isNull()
-    number = order_number(df, tie)
-    ties = range_bounds(df.select(number.alias("t")), "t", TIE_RANGES)
-    ranged = add_range(ranged.withColumn("__t", number), "__t", ties, "__in")
-    inner = F.when(single & F.col("__t").isNotNull(), F.col("__in") + 1).otherwise(0)
-    ranged = ranged.withColumn("__sub", inner.cast("int")).drop("__t", "__in", "__at")
-    # At most (2 * SORT_RANGES + 1) * (TIE_RANGES + 1) rows: small enough for one task and to
-    # broadcast, whatever the size of the table.
-    before = W.partitionBy(F.lit(0)).orderBy("__range", "__sub")
-    offsets = ranged.groupBy("__range", "__sub").agg(F.count("*").alias("__rows"))
+    keys = [F.col(order).asc_nulls_first(), F.col(tie).asc_nulls_first()]
+    ranged = df.repartitionByRange(ranges_for(df.count()), *keys).withColumn("__range", F.spark_partition_id())
+    ranged = materialise(ranged, "ranges")
+    # One row per range, MOST_RANGES at most: small enough for one task and to broadcast.
+    every = W.partitionBy(F.lit(0))
+    before = every.orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = ranged.groupBy("__range").agg(F.count("*").alias("__rows"))
     offsets = offsets.select(
         "__range",
-        "__sub",
-        F.coalesce(
-            F.sum("__rows").over(before.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
-        ).alias("__before"),
-        F.sum("__rows").over(W.partitionBy(F.lit(0))).alias("__total"),
-    )
-    local = W.partitionBy("__range", "__sub").orderBy(
-        F.col("__v").asc_nulls_first(), F.col(tie).asc_nulls_first()
-    )
-    numbered = ranged.join(F.broadcast(offsets), ["__range", "__sub"])
-    return numbered.withColumn(out, F.col("__before") + F.row_number().over(local)).drop(
-        "__range", "__sub", "__before", "__v"
+        F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"),
+        F.sum("__rows").over(every).alias("__total"),
     )
+    local = W.partitionBy("__range").orderBy(*keys)
+    numbered = ranged.join(F.broadcast(offsets), "__range")
+    return numbered.withColumn(out, F.col("__before") + F.row_number().over(local)).drop("__range", "__before")
 
 
 def global_ntile(
@@ -110,20 +70,9 @@ def top_n_per_group(
     """First `n` rows of every group in the given total order, with their position.
 
     Spark cuts each map task to its own first n rows per group before the shuffle (window group
-    limit, up to `spark.sql.optimizer.windowGroupLimitThreshold`), so a hot group sends few rows.
+    limit), so a hot group sends few rows; `spark.sql.optimizer.windowGroupLimitThreshold` says
+    up to which n.
     """
-    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if n > limit:
-        # Beyond that limit the same cut is made by hand, on sixty-four parts of each group.
-        # Parts follow the input task, so that even identical rows are spread.
-        part = (F.spark_partition_id() % 64).alias("__part")
-        pre = W.partitionBy(*by, "__part").orderBy(*order)
-        df = (
-            df.select("*", part)
-            .withColumn("__pre", F.row_number().over(pre))
-            .where(F.col("__pre") <= n)
-            .drop("__part", "__pre")
-        )
     w = W.partitionBy(*by).orderBy(*order)
     return df.withColumn(out, F.row_number().over(w)).where(F.col(out) <= n)
 
@@ -131,17 +80,19 @@ def top_n_per_group(
 def best_and_worst(df: DataFrame, k: int, value: str, tie: str) -> DataFrame:
     """The `k` smallest and the `k` largest values, each list with its positions.
 
-    Both lists are top-k cuts, so only k rows per task travel."""
-    known = df.where(F.col(value).isNotNull())
-    lists = []
-    for side, keys in (
-        ("lowest", [F.col(value).asc(), F.col(tie).asc()]),
-        ("highest", [F.col(value).desc(), F.col(tie).desc()]),
-    ):
-        cut = known.orderBy(*keys).limit(k)
-        order = W.partitionBy(F.lit(side)).orderBy(*keys)
-        lists.append(cut.select(F.lit(side).alias("side"), F.row_number().over(order).alias("position"), *df.columns))
-    return lists[0].unionByName(lists[1])
+    Every row is read once and offered to both lists; each task keeps its own first k rows of a
+    list, so few rows travel."""
+    v, t = F.col(value), F.col(tie)
+    known = df.where(v.isNotNull())
+    sides = known.select(F.explode(F.array(F.lit("lowest"), F.lit("highest"))).alias("side"), "*")
+    low = F.col("side") == "lowest"
+    keys = [
+        F.when(low, v).asc(),
+        F.when(low, t).asc(),
+        F.when(~low, v).desc(),
+        F.when(~low, t).desc(),
+    ]
+    return top_n_per_group(sides, ["side"], k, keys).select("side", "position", *df.columns)
 
 
 def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:

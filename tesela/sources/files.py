@@ -16,14 +16,6 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal a scanned table over all cores if it comes in fewer splits than there are cores.
-
-    A table of many splits, as any large one is, stays as it is and pays no shuffle."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """JSON lines.  Without a schema Spark reads everything once more to infer it."""
     reader = spark.read if schema is None else spark.read.schema(schema)
