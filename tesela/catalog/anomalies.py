@@ -159,21 +159,105 @@ def recon_mlp(spark, sf):
 
 @query("training_history")
 def training_history(spark, sf):
-    model = _train(_scaled_embeddings(spark, sf), epochs=15)
+    model = _train(_scaled_embeddings(spark, sf))
     return network.best_epoch(model.history_frame(spark))
 
 
 @query("anomaly_report")
 def anomaly_report(spark, sf):
-    """Municipality-years: train, reconstruct, classify; returns the summary per class."""
+    """Municipality-years: train, reconstruct, classify the test part; the summary per class."""
     table = features(spark, sf).withColumn("id", F.concat_ws("-", C.KEY, C.YEAR))
     tagged = materialise(tag_split(table, "id"), "features")
     stats = scaling.train_stats(tagged.where(F.col("split") == "train"), C.ANOMALY_FEATURES)
     scaled = scaling.zscore(tagged, stats).withColumn("x", F.array(*C.ANOMALY_FEATURES))
     rows = materialise(scaled, "scaled")
     model = _train(rows)
-    errors = scoring.add_errors(model.reconstruct(rows, "x", "y"), "x", "y").drop("x", "y")
+    unseen = rows.where(F.col("split") == "test")
+    errors = scoring.add_errors(model.reconstruct(unseen, "x", "y"), "x", "y").drop("x", "y")
     tables = scoring.report(errors, C.ANOMALY_FEATURES, [C.KEY, C.YEAR, "municipio"], [C.KEY, C.YEAR])
     return tables["summary"]
 
 
+
+
+def _line_report(spark, sf):
+    """Report tables of line items whose errors are given: those of discount and tax."""
+    line = read_table(spark, sf, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        F.col("l_quantity").alias(scoring.SCORE),
+        F.array("l_discount", "l_tax").alias("feature_errors"),
+    )
+    rows = line.withColumn(scoring.ERROR, scoring.mean_of_array(F.col("feature_errors")))
+    ids = ["l_orderkey", "l_linenumber"]
+    return scoring.report(rows, ["l_discount", "l_tax"], ids, ids)
+
+
+LINE_CLASSES = """classed AS (
+  SELECT l_orderkey, l_linenumber, l_discount, l_tax, e AS reconstruction_error, puntaje_global_promedio,
+    e > t AS is_anomaly,
+    round((rank() OVER (ORDER BY e) + (count(*) OVER (PARTITION BY e) - 1) / 2.0) / count(*) OVER () * 100, 2)
+      AS anomaly_score_pct,
+    CASE WHEN NOT e > t THEN 'TÍPICO' WHEN puntaje_global_promedio > m THEN 'ANOMALÍA_POSITIVA'
+      ELSE 'ANOMALÍA_NEGATIVA' END AS anomaly_class
+  FROM errors, (SELECT CASE WHEN exp(-n / 6 * (s * s + k * k / 4) / 2) > 0.05 THEN mean + 2 * std ELSE p75 END AS t
+    FROM (SELECT count(*) AS n, avg(e) AS mean, stddev_pop(e) AS std, kurtosis_pop(e) AS k,
+      skewness(e) * (count(*) - 2) / sqrt(count(*) * (count(*) - 1.0)) AS s, quantile_cont(e, 0.75) AS p75 FROM errors)),
+    (SELECT quantile_cont(puntaje_global_promedio, 0.5) AS m FROM errors))"""
+LINE_ERRORS = (
+    "errors AS (SELECT *, (0.0 + l_discount + l_tax) / 2 AS e, l_quantity AS puntaje_global_promedio FROM lineitem)"
+)
+
+
+def _line_sql(select: str) -> str:
+    return f"WITH {LINE_ERRORS}, {LINE_CLASSES} {select}"
+
+
+@query(
+    "report_classified",
+    _line_sql(
+        """SELECT l_orderkey, l_linenumber, puntaje_global_promedio, reconstruction_error, is_anomaly,
+        round(log10(reconstruction_error + 1e-10), 8) AS error_log10, anomaly_score_pct, anomaly_class FROM classed"""
+    ),
+)
+def report_classified(spark, sf):
+    return _line_report(spark, sf)["classified"].withColumn("error_log10", F.round("error_log10", 8))
+
+
+@query(
+    "report_top",
+    _line_sql(
+        """SELECT l_orderkey, l_linenumber, reconstruction_error, anomaly_class, position FROM (
+        SELECT *, row_number() OVER (PARTITION BY anomaly_class
+          ORDER BY reconstruction_error DESC, l_orderkey, l_linenumber)::INTEGER AS position
+        FROM classed WHERE anomaly_class <> 'TÍPICO') WHERE position <= 20"""
+    ),
+)
+def report_top(spark, sf):
+    columns = ["l_orderkey", "l_linenumber", scoring.ERROR, "anomaly_class", "position"]
+    return _line_report(spark, sf)["top"].select(*columns)
+
+
+@query(
+    "report_shares",
+    _line_sql(
+        """SELECT anomaly_class, count(*) AS n, round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM classed), 2) AS pct
+        FROM classed GROUP BY 1"""
+    ),
+)
+def report_shares(spark, sf):
+    return _line_report(spark, sf)["shares"]
+
+
+@query(
+    "report_mean_contributions",
+    _line_sql(
+        """SELECT feature, round(avg(pct), 6) AS mean_pct FROM (
+        SELECT feature, round(fe / (reconstruction_error + 1e-10) * 100, 2) AS pct
+        FROM (SELECT l_discount, l_tax, reconstruction_error, anomaly_class FROM classed)
+        UNPIVOT (fe FOR feature IN (l_discount, l_tax)) WHERE anomaly_class <> 'TÍPICO') GROUP BY 1"""
+    ),
+)
+def report_mean_contributions(spark, sf):
+    table = _line_report(spark, sf)["mean_contributions"]
+    return table.withColumn("mean_pct", F.round("mean_pct", 6))

@@ -16,6 +16,7 @@ from ..session import fresh_path, materialise
 from ..sources.files import read_table
 from . import roles
 from .registry import query
+from .sql import STUDENTS, with_
 
 ID = "estu_consecutivo"
 
@@ -28,7 +29,17 @@ def _profiling(spark, sf):
     return dataset.profiling_table(roles.students(spark, sf), roles.levels(spark, sf), ID)
 
 
-@query("encode_index")
+def _index_sql(column: str) -> str:
+    return f"""(SELECT {column}, (row_number() OVER (ORDER BY count(*) DESC, {column}) - 1)::DOUBLE AS idx
+      FROM orders GROUP BY 1)"""
+
+
+INDEXED = f"""SELECT o_orderkey, o_orderstatus, o_orderpriority, s.idx AS status_idx, p.idx AS priority_idx
+    FROM orders JOIN {_index_sql('o_orderstatus')} s USING (o_orderstatus)
+    JOIN {_index_sql('o_orderpriority')} p USING (o_orderpriority)"""
+
+
+@query("encode_index", INDEXED)
 def encode_index(spark, sf):
     orders = read_table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
     indexer = StringIndexer(
@@ -50,7 +61,11 @@ def encode_index_sql(spark, sf):
     return mlf.frequency_index(orders, "o_orderpriority", "idx")
 
 
-@query("encode_onehot")
+@query(
+    "encode_onehot",
+    f"""SELECT *, [CASE WHEN i = priority_idx THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END FOR i IN
+      range(0, (SELECT count(DISTINCT o_orderpriority) + 1 FROM orders))] AS hot FROM ({INDEXED})""",
+)
 def encode_onehot(spark, sf):
     indexed = encode_index(spark, sf)
     hot = OneHotEncoder(inputCols=["priority_idx"], outputCols=["hot"], handleInvalid="keep")
@@ -111,14 +126,15 @@ def regression_metrics_(spark, sf):
 
 @query("kmeans_elbow")
 def kmeans_elbow(spark, sf):
-    return models.elbow(models.cluster_features(_profiling(spark, sf)))
+    """The sweep over k leaves the total score out; the final fit puts it in."""
+    return models.elbow(models.cluster_features(_profiling(spark, sf), extra_numeric=()))
 
 
 @query("kmeans_profiles")
 def kmeans_profiles(spark, sf):
-    features = models.cluster_features(_profiling(spark, sf))
-    k = models.best_k(models.elbow(features, max_k=4))
-    table = models.cluster_profile(models.assign_clusters(features, k))
+    profiling = materialise(_profiling(spark, sf), "profiling")
+    k = models.best_k(models.elbow(models.cluster_features(profiling, extra_numeric=())))
+    table = models.cluster_profile(models.assign_clusters(models.cluster_features(profiling), k))
     return table.withColumn("perfil", models.profile_label())
 
 
@@ -134,6 +150,12 @@ def rf_importance(spark, sf):
     return importance
 
 
+@query("rf_importance_top")
+def rf_importance_top(spark, sf):
+    """The fifteen most important inputs."""
+    return rf_importance(spark, sf).limit(15)
+
+
 @query("gbt_scores")
 def gbt_scores(spark, sf):
     _, metrics = models.fit_all_scores(materialise(_table(spark, sf), "model-table"), ID)
@@ -142,20 +164,20 @@ def gbt_scores(spark, sf):
 
 @query("score_new_rows")
 def score_new_rows(spark, sf):
-    """A short boosting run; its model scores all students, as a batch of new rows."""
+    """A model of the total score scores all students, as a batch of new rows."""
     table = materialise(_table(spark, sf), "model-table")
-    model, _ = models.fit_score_model(table, C.SCORE, ID, rounds=5)
+    model, _ = models.fit_score_model(table, C.SCORE, ID)
     rows = dataset.model_table(
         roles.students(spark, sf).drop(*C.SCORES), roles.levels(spark, sf), ID
     )
     return model.predict(rows).select(ID, "prediction")
 
 
-@query("model_roundtrip")
+@query("model_roundtrip", with_(STUDENTS) + "SELECT count(*) AS n, 0::BIGINT AS n_different FROM students")
 def model_roundtrip(spark, sf):
     """Save and load a fitted pipeline; both score all students, differences are counted."""
     table = materialise(_table(spark, sf), "model-table")
-    model, _ = models.fit_score_model(table, C.SCORE, ID, rounds=3)
+    model, _ = models.fit_score_model(table, C.SCORE, ID)
     path = model.save(fresh_path(spark, "model"))
     again = models.ScoreModel.load(path, model.target, model.numeric)
     a = model.predict(table).select(ID, F.col("prediction").alias("before"))

@@ -549,12 +549,14 @@ def best_worst_k(spark, sf):
     )
 
 
-@query("sample_n")
-def sample_n(spark, sf):
-    return sampling.sample_rows(read_table(spark, sf, "orders"), 1000, "o_orderkey")
+MD5 = "('0x' || substr(md5('42' || o_orderkey::VARCHAR), 1, 8))::BIGINT"
+MD5_7 = MD5.replace("'42'", "'7'")
 
 
-MD5 = "('0x' || substr(md5('42' || o_orderkey::VARCHAR), 1, 8))::BIGINT"
+@query("sample_n", f"SELECT * FROM orders ORDER BY {MD5_7}, o_orderkey LIMIT 1000")
+def sample_n(spark, sf):
+    number = sampling.md5_number("o_orderkey", "7")
+    return sampling.sample_rows(read_table(spark, sf, "orders"), 1000, "o_orderkey", number)
 
 
 @query(
@@ -567,9 +569,10 @@ def sample_n_md5(spark, sf):
     return sampling.sample_rows(orders, 1000, "o_orderkey", number)
 
 
-@query("sample_fraction")
+@query("sample_fraction", f"SELECT * FROM orders WHERE {MD5} < {int(0.05 * 2**32)}")
 def sample_fraction(spark, sf):
-    return sampling.sample_share(read_table(spark, sf, "orders"), 0.05, "o_orderkey")
+    number = sampling.md5_number("o_orderkey", "42")
+    return sampling.sample_share(read_table(spark, sf, "orders"), 0.05, "o_orderkey", number=number)
 
 
 @query(
@@ -624,10 +627,17 @@ def split_tagged(spark, sf):
     return sampling.tag_split(orders, "o_orderkey")
 
 
-@query("split_random")
+@query(
+    "split_random",
+    f"""SELECT 'train' AS part, count(*) AS n FROM orders WHERE {MD5_7} < {round(0.8 * 2**32)}
+    UNION ALL SELECT 'test', count(*) FROM orders WHERE {MD5_7} >= {round(0.8 * 2**32)}""",
+)
 def split_random(spark, sf):
     orders = read_table(spark, sf, "orders")
-    parts = sampling.split_frames(orders, "o_orderkey", (0.8, 0.2), ("train", "test"))
+    number = sampling.md5_number("o_orderkey", "7")
+    parts = sampling.split_frames(
+        orders, "o_orderkey", (0.8, 0.2), ("train", "test"), number=number
+    )
     sizes = [
         df.agg(F.lit(name).alias("part"), F.count("*").alias("n")) for name, df in parts.items()
     ]

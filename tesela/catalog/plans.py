@@ -259,6 +259,27 @@ def q6_median_split(spark, sf):
     return questions.connected_sites(roles.coverage(spark, sf), digits=DIGITS, scale=SCALE)
 
 
+@query(
+    "q6_correlation",
+    with_(COVERAGE)
+    + """SELECT count(CASE WHEN sedes_conectadas_a_internet IS NOT NULL AND cobertura_neta IS NOT NULL THEN 1 END) AS n,
+      round(corr(sedes_conectadas_a_internet, cobertura_neta), 5) AS corr FROM coverage""",
+)
+def q6_correlation(spark, sf):
+    return questions.sites_correlation(roles.coverage(spark, sf), DIGITS)
+
+
+@query(
+    "q6_completeness",
+    with_(COVERAGE)
+    + """SELECT count(*) AS n_total, n_known, n_known * 100.0::DOUBLE / count(*) AS pct_known
+    FROM coverage, (SELECT count(*) AS n_known FROM coverage
+      WHERE sedes_conectadas_a_internet IS NOT NULL AND cobertura_neta IS NOT NULL) GROUP BY n_known""",
+)
+def q6_completeness(spark, sf):
+    return questions.sites_completeness(roles.coverage(spark, sf))
+
+
 def _areas() -> str:
     parts = []
     for s in C.SUBJECTS:

@@ -40,9 +40,12 @@ def sample_rows(df: DataFrame, n: int, key: str, number: Column | None = None) -
     return kept.orderBy(number, F.col(key)).limit(n)
 
 
-def sample_share(df: DataFrame, share: float, key: str, seed: int = 42) -> DataFrame:
-    """About `share` of the rows, each decided by its own key."""
-    return df.where(hash_number(key, seed) < int(share * (1 << HASH_BITS)))
+def sample_share(
+    df: DataFrame, share: float, key: str, seed: int = 42, number: Column | None = None
+) -> DataFrame:
+    """About `share` of the rows, each decided by its own key, or by a `number` of 32 bits."""
+    number = hash_number(key, seed) if number is None else number
+    return df.where(number < int(share * (1 << HASH_BITS)))
 
 
 def first_rows(df: DataFrame, n: int, *keys: str) -> DataFrame:
@@ -71,8 +74,15 @@ def tag_split(df: DataFrame, key: str, seed: str = "42", **kw) -> DataFrame:
 
 
 def split_frames(
-    df: DataFrame, key: str, shares: Sequence[float], names: Sequence[str], seed: int = 42
+    df: DataFrame,
+    key: str,
+    shares: Sequence[float],
+    names: Sequence[str],
+    seed: int = 42,
+    number: Column | None = None,
 ) -> dict[str, DataFrame]:
-    """Disjoint parts by hash of the key; a stable stand-in for `randomSplit`."""
-    tagged = df.withColumn("__split", split_label(hash_number(key, seed), shares, names))
+    """Disjoint parts by hash of the key, or by a `number` of 32 bits; a stable stand-in for
+    `randomSplit`."""
+    number = hash_number(key, seed) if number is None else number
+    tagged = df.withColumn("__split", split_label(number, shares, names))
     return {n: tagged.where(F.col("__split") == n).drop("__split") for n in names}
