@@ -156,35 +156,54 @@ def rf_importance_top(spark, sf):
     return rf_importance(spark, sf).limit(15)
 
 
+_FITTED: dict = {}
+
+
+def _scores(spark, sf):
+    """Models, metrics and test rows of all scores, fitted once per application and folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _FITTED:
+        _FITTED[key] = models.fit_all_scores(models.score_inputs(_table(spark, sf), ID))
+    return _FITTED[key]
+
+
 @query("gbt_scores")
 def gbt_scores(spark, sf):
-    _, metrics = models.fit_all_scores(materialise(_table(spark, sf), "model-table"), ID)
-    return metrics
+    return _scores(spark, sf)[1]
+
+
+@query("gbt_predictions")
+def gbt_predictions(spark, sf):
+    """Prediction beside actual score for the test rows of every score."""
+    return _scores(spark, sf)[2]
 
 
 @query("score_new_rows")
 def score_new_rows(spark, sf):
-    """A model of the total score scores all students, as a batch of new rows."""
-    table = materialise(_table(spark, sf), "model-table")
-    model, _ = models.fit_score_model(table, C.SCORE, ID)
+    """The model of the total score scores all students, as a batch of new rows."""
     rows = dataset.model_table(
         roles.students(spark, sf).drop(*C.SCORES), roles.levels(spark, sf), ID
     )
-    return model.predict(rows).select(ID, "prediction")
+    return _scores(spark, sf)[0][C.SCORE].predict(rows).select(ID, "prediction")
+
+
+@query("score_raw_rows")
+def score_raw_rows(spark, sf):
+    """All six scores of every raw student row, from its text columns alone."""
+    raw = roles.landed(spark, sf, "students").drop(*C.SCORES)
+    rows = dataset.raw_table(raw, roles.levels(spark, sf), ID)
+    return models.predict_all(_scores(spark, sf)[0], rows, ID)
 
 
 @query("model_roundtrip", with_(STUDENTS) + "SELECT count(*) AS n, 0::BIGINT AS n_different FROM students")
 def model_roundtrip(spark, sf):
     """Save and load a fitted pipeline; both score all students, differences are counted."""
     table = materialise(_table(spark, sf), "model-table")
-    model, _ = models.fit_score_model(table, C.SCORE, ID)
-    path = model.save(fresh_path(spark, "model"))
-    again = models.ScoreModel.load(path, model.target, model.numeric)
+    model = _scores(spark, sf)[0][C.SCORE]
+    again = models.ScoreModel.load(model.save(fresh_path(spark, "model")))
     a = model.predict(table).select(ID, F.col("prediction").alias("before"))
     b = again.predict(table).select(ID, F.col("prediction").alias("after"))
     return a.join(b, ID).agg(
         F.count("*").alias("n"),
         F.sum((F.col("before") != F.col("after")).cast("int")).alias("n_different"),
     )
-
-

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.columns import select_present
+from ..functions.parse import normalize_code, parse_columns, period_year, yes_no_flag
+from ..operators.columns import column_or, select_present
 from ..operators.joins import left_with_flag
 from ..operators.sampling import sample_rows
 from . import contract as C
@@ -70,6 +71,19 @@ def model_table(
     return joined.withColumns(trimmed)
 
 
+def raw_table(raw: DataFrame, levels: DataFrame, id_column: str) -> DataFrame:
+    """The inputs of raw student rows, as `model_table` gives them for cleaned ones: code, year
+    and household flag are derived, the municipal features looked up.  No row is left out."""
+    derived = parse_columns(raw, C.SCORES).withColumns(
+        {
+            C.KEY: normalize_code(column_or(raw, "cole_cod_mcpio_ubicacion", "string")),
+            C.STUDENT_YEAR: period_year(column_or(raw, "periodo", "string")),
+            C.HOUSEHOLD_FLAG: yes_no_flag(column_or(raw, "fami_tieneinternet", "string")),
+        }
+    )
+    return model_table(derived, levels, id_column)
+
+
 def profiling_table(students: DataFrame, levels: DataFrame, id_column: str, **kw) -> DataFrame:
     """The same for clustering: only students with a score of zero or more."""
     table = model_table(students, levels, id_column, categorical=PROFILE_CATEGORICAL, **kw)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from tesela.anomaly import network, scaling, scoring
@@ -131,3 +132,45 @@ def test_silhouettes(spark):
 )
 def test_query_without_sql_gives_rows(spark, name):
     assert QUERIES[name](spark, SF).count() > 0
+
+
+def test_stop_round():
+    from tesela.ml.models import stop_round
+
+    assert stop_round([5, 4, 3, 3, 3, 2, 9, 9, 9, 9], 4) == (6, True)
+    assert stop_round([5, 4, 4, 4, 4, 1], 3) == (2, True)
+    assert stop_round([5, 4, 3], 20) == (3, False)
+
+
+def test_boosting_waits_for_gains(spark):
+    """On a planted signal the rule keeps many rounds, and they beat the first five."""
+    from pyspark.ml.feature import VectorAssembler
+
+    from tesela.ml import models
+
+    rows = spark.range(3000).select(
+        F.col("id").cast("string").alias("id"),
+        *[(F.pmod(F.xxhash64("id", F.lit(i)), F.lit(1000)) / 1000).alias(f"x{i}") for i in range(3)],
+    )
+    rows = rows.withColumn("punt_global", 100 * F.sin(6 * F.col("x0")) + 80 * F.col("x1") * F.col("x2") + 200)
+    pipeline = PipelineModel(stages=[VectorAssembler(inputCols=["x0", "x1", "x2"], outputCol="features")])
+    tagged = pipeline.transform(tag_split(rows, "id")).select("id", "features", "split", "punt_global")
+    inputs = models.ScoreInputs(["x0", "x1", "x2"], pipeline, tagged.repartition(4).persist())
+    _, metrics, tested = models.fit_score_model(inputs, "punt_global", rounds=60, depth=3)
+    _, few, _ = models.fit_score_model(inputs, "punt_global", rounds=5, depth=3)
+    kept, five = metrics.first(), few.first()
+    assert kept.n_trees > 20 and kept.rmse < 0.7 * five.rmse
+    assert tested.where("split != 'test'").count() == 0
+
+
+def test_raw_rows_get_all_scores(spark):
+    got = QUERIES["score_raw_rows"](spark, SF)
+    raw = QUERIES["score_new_rows"](spark, SF).count()
+    assert got.count() >= raw and len(got.columns) == 7
+    pred = got.select("pred_punt_global").toPandas().iloc[:, 0]
+    assert pred.between(0, 500).all()
+
+
+def test_predictions_stand_beside_scores(spark):
+    rows = QUERIES["gbt_predictions"](spark, SF).groupBy("target").count().collect()
+    assert len(rows) == 6 and all(r["count"] > 0 for r in rows)
