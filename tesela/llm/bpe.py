@@ -2,9 +2,13 @@
 
 Documents are cut into words by the pattern of the vocabulary.  A task keeps the words of a
 block of documents in a dictionary and each document as a list of places in it, so the position
-of every word is stored and a word crosses the network once per block and not once per use.
+of every word is kept and a word crosses the network once per block and not once per use.
 The dictionaries are dealt out by word; each distinct word is encoded once; its ids return to
 the block and place they came from, and the documents are put together by position.
+
+The texts are cut twice, once for the dictionaries and once for the places: that takes less
+than writing the places to a table and reading them again.  A block is named by its words, so
+an input that came in another order the second time ends in an error and not in wrong ids.
 """
 
 from __future__ import annotations
@@ -16,20 +20,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from .common import materialise, text_of, whole_number
+from .common import text_of, whole_number
 
 #: A block of documents ends after so many words, or so many different ones.
-BLOCK_WORDS = 2_000_000
-BLOCK_DISTINCT = 400_000
+BLOCK_WORDS = 6_000_000
+BLOCK_DISTINCT = 500_000
 #: Words of a block are dealt to so many buckets for each shuffle partition.
 BUCKETS_PER_PARTITION = 8
 #: Words put together at once.
 GATHER = 250_000
 
-BLOCKS = "block string, doc_ids array<bigint>, lengths array<int>, places binary, bucket int, words array<string>, slots array<int>"
+BLOCKS = "block string, doc_ids array<bigint>, lengths array<int>, places binary"
+WORDS = "block string, bucket int, words binary, slots binary"
+ENCODED = "block string, slots binary, counts binary, ids binary"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -108,11 +113,12 @@ class _Slots(dict):
         return n
 
 
-def _pack(places: np.ndarray) -> bytes:
-    """Places as four planes of bytes, compressed."""
+def _pack(numbers: np.ndarray) -> bytes:
+    """Whole numbers below 2^32 as four planes of bytes, compressed: lists of numbers are what
+    is written and shuffled most here."""
     import zstandard
 
-    planes = np.ascontiguousarray(places.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
     return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
 
 
@@ -123,39 +129,41 @@ def _unpack(packed: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).reshape(-1).view("<u4")
 
 
-def _cut_blocks(pattern: str, buckets: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pack_words(words: list[bytes]) -> bytes:
+    """The lengths of the words, then their bytes, compressed."""
+    import zstandard
+
+    lengths = np.fromiter(map(len, words), "<u4", len(words))
+    raw = np.uint32(len(words)).tobytes() + lengths.tobytes() + b"".join(words)
+    return zstandard.ZstdCompressor(level=6).compress(raw)
+
+
+def _unpack_words(packed: bytes) -> list[bytes]:
+    import zstandard
+
+    raw = zstandard.ZstdDecompressor().decompress(packed)
+    n = int(np.frombuffer(raw, "<u4", 1)[0])
+    ends = (np.cumsum(np.frombuffer(raw, "<u4", n, 4), dtype=np.int64) + 4 + 4 * n).tolist()
+    return [raw[a:b] for a, b in zip([4 + 4 * n, *ends], ends)]
+
+
+def _cut(pattern: str):
+    """Blocks of documents: (name, doc ids, their numbers of words, places, words by place)."""
+
+    def blocks(batches: Iterator[pa.RecordBatch]):
         import zlib
 
         import regex
         from pyspark import TaskContext
 
         find = regex.compile(pattern).findall
-        part, block = TaskContext.get().partitionId(), 0
+        part = TaskContext.get().partitionId()
         slots, ids, lengths, places, total = _Slots(), [], [], [], 0
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            name = f"{part}-{block}"
-            order: dict[int, tuple[list[str], list[int]]] = {}
-            for word, slot in slots.items():
-                words, at = order.setdefault(zlib.crc32(word.encode()) % buckets, ([], []))
-                words.append(word)
-                at.append(slot)
-            packed = _pack(np.concatenate(places)) if total else b""
-            keys = sorted(order)
-            n = 1 + len(keys)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([name] * n, pa.string()),
-                    pa.array([ids] + [None] * len(keys), pa.list_(pa.int64())),
-                    pa.array([lengths] + [None] * len(keys), pa.list_(pa.int32())),
-                    pa.array([packed] + [None] * len(keys), pa.binary()),
-                    pa.array([None, *keys], pa.int32()),
-                    pa.array([None, *(order[k][0] for k in keys)], pa.list_(pa.string())),
-                    pa.array([None, *(order[k][1] for k in keys)], pa.list_(pa.int32())),
-                ],
-                names=["block", "doc_ids", "lengths", "places", "bucket", "words", "slots"],
-            )
+        def block():
+            words = [w.encode() for w in slots]
+            name = f"{part}-{len(ids)}-{total}-{zlib.crc32(b' '.join(words))}"
+            return name, ids, lengths, np.concatenate(places), words
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -165,11 +173,48 @@ def _cut_blocks(pattern: str, buckets: int):
                 places.append(np.fromiter(map(slots.__getitem__, words), np.uint32, len(words)))
                 total += len(words)
                 if total >= BLOCK_WORDS or len(slots) >= BLOCK_DISTINCT:
-                    yield from flush()
-                    block += 1
+                    yield block()
                     slots, ids, lengths, places, total = _Slots(), [], [], [], 0
         if ids:
-            yield from flush()
+            yield block()
+
+    return blocks
+
+
+def _places(pattern: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name, ids, lengths, places, _ in _cut(pattern)(batches):
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([name], pa.string()),
+                    pa.array([ids], pa.list_(pa.int64())),
+                    pa.array([lengths], pa.list_(pa.int32())),
+                    pa.array([_pack(places)], pa.binary()),
+                ],
+                names=["block", "doc_ids", "lengths", "places"],
+            )
+
+    return run
+
+
+def _dictionaries(pattern: str, buckets: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zlib
+
+        for name, _, _, _, words in _cut(pattern)(batches):
+            order: dict[int, list[int]] = {}
+            for slot, word in enumerate(words):
+                order.setdefault(zlib.crc32(word) % buckets, []).append(slot)
+            for bucket, at in order.items():
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([name], pa.string()),
+                        pa.array([bucket], pa.int32()),
+                        pa.array([_pack_words([words[i] for i in at])], pa.binary()),
+                        pa.array([_pack(np.diff(at, prepend=0))], pa.binary()),
+                    ],
+                    names=["block", "bucket", "words", "slots"],
+                )
 
     return run
 
@@ -177,24 +222,23 @@ def _cut_blocks(pattern: str, buckets: int):
 def _encode_words(ranks):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Merger(ranks.value).encode
-        known: dict[str, list[int]] = {}  # the distinct words of this partition
+        known: dict[bytes, list[int]] = {}  # the distinct words of this partition
         for batch in batches:
             for row in range(batch.num_rows):
-                words = batch.column("words")[row].as_py()
                 found = []
-                for w in words:
-                    e = known.get(w)
-                    if e is None:
-                        known[w] = e = encode(w.encode())
-                    found.append(e)
-                counts = np.fromiter(map(len, found), np.int32, len(found))
-                flat = np.fromiter((i for e in found for i in e), np.int32, int(counts.sum()))
+                for word in _unpack_words(batch.column("words")[row].as_py()):
+                    ids = known.get(word)
+                    if ids is None:
+                        known[word] = ids = encode(word)
+                    found.append(ids)
+                counts = np.fromiter(map(len, found), np.uint32, len(found))
+                flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(counts.sum()))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("block").slice(row, 1),
                         batch.column("slots").slice(row, 1),
-                        pa.ListArray.from_arrays(pa.array([0, len(counts)], pa.int32()), pa.array(counts)),
-                        pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), pa.array(flat)),
+                        pa.array([_pack(counts)], pa.binary()),
+                        pa.array([_pack(flat)], pa.binary()),
                     ],
                     names=["block", "slots", "counts", "ids"],
                 )
@@ -209,8 +253,8 @@ def _ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return skip + np.arange(total)
 
 
-def _values(column: pa.ChunkedArray) -> np.ndarray:
-    return np.concatenate([x.flatten().to_numpy(zero_copy_only=False) for x in column.chunks])
+def _values(column: pa.ChunkedArray) -> list[np.ndarray]:
+    return [_unpack(x) for x in column.to_pylist()]
 
 
 def _put_together(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -218,16 +262,18 @@ def _put_together(left: pa.Table, right: pa.Table) -> pa.Table:
     doc_ids, out = [pa.array([], pa.int64())], [pa.array([], pa.list_(pa.int32()))]
     flat, size, first = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
     if right.num_rows:
-        slots, counts = _values(right.column("slots")), _values(right.column("counts")).astype(np.int64)
-        flat = _values(right.column("ids")).astype(np.int32)
+        slots = np.concatenate([np.cumsum(x, dtype=np.int64) for x in _values(right.column("slots"))])
+        counts = np.concatenate(_values(right.column("counts"))).astype(np.int64)
+        flat = np.concatenate(_values(right.column("ids"))).astype(np.int32)
         size, first = np.zeros(len(slots), np.int64), np.zeros(len(slots), np.int64)
         size[slots] = counts
         first[slots] = np.cumsum(counts) - counts
     for row in range(left.num_rows):
         ids = left.column("doc_ids")[row].values
         ends = np.concatenate(([0], np.cumsum(left.column("lengths")[row].values.to_numpy(), dtype=np.int64)))
-        packed = left.column("places")[row].as_py()
-        places = _unpack(packed) if packed else np.zeros(0, np.uint32)
+        places = _unpack(left.column("places")[row].as_py())
+        if len(places) and not len(size):
+            raise RuntimeError("the input came in another order when it was read again: write it to a table first")
         lo, last = 0, len(ids)
         while lo < last:  # about GATHER words at once
             hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + GATHER, "right")) - 1)
@@ -244,16 +290,16 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", k
     """Token ids of every whole text: (doc_id, ids), one row per row of `docs`.
 
     Null texts count as empty and give no ids; null and repeated keys are kept, row by row;
-    other columns of `docs` are not read.  An empty table gives an empty result.
+    other columns of `docs` are not read.  An empty table gives an empty result.  `docs` is read
+    twice and must come in the same order both times, as a stored table does.
     """
     spark = docs.sparkSession
     buckets = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranks = spark.sparkContext.broadcast(read_ranks(vocabulary))
     source = docs.select(whole_number(key).alias("doc_id"), text_of(text).alias("text"))
-    cut = materialise(source.mapInArrow(_cut_blocks(pattern, buckets), BLOCKS), "bpe-blocks")
-    words = cut.where("bucket is not null").select("bucket", "block", "words", "slots").repartition("bucket")
-    encoded = words.mapInArrow(_encode_words(ranks), "block string, slots array<int>, counts array<int>, ids array<int>")
-    blocks = cut.where("bucket is null").select("block", "doc_ids", "lengths", "places")
+    words = source.mapInArrow(_dictionaries(pattern, buckets), WORDS).repartition("bucket")
+    encoded = words.mapInArrow(_encode_words(ranks), ENCODED)
+    blocks = source.mapInArrow(_places(pattern), BLOCKS)
     return (
         blocks.groupBy("block")
         .cogroup(encoded.groupBy("block"))
@@ -261,59 +307,66 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", k
     )
 
 
-def _decode(table, ids_at: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = table.value
-        n = max(ranks.values(), default=-1) + 1
-        by_id = [b""] * n
+class TokenBytes:
+    """The token-byte table: one entry for each of the vocabulary, which bounds it."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        by_id = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, i in ranks.items():
             by_id[i] = token
-        size = np.fromiter(map(len, by_id), np.int64, n)
-        first = np.cumsum(size) - size
-        blob = np.frombuffer(b"".join(by_id), np.uint8)
-        for batch in batches:
-            lists = batch.column(ids_at)
-            ends = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).cumsum()
-            ids = lists.flatten().to_numpy(zero_copy_only=False)
-            decoded, begin = [], 0
-            for end in ends.tolist():
-                one = ids[begin:end]
-                decoded.append(blob[_ragged(first[one], size[one])].tobytes())
-                begin = end
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())], names=[*batch.schema.names, "decoded"])
+        self.size = np.fromiter(map(len, by_id), np.int64, len(by_id))
+        self.first = np.cumsum(self.size) - self.size
+        self.blob = np.frombuffer(b"".join(by_id), np.uint8)
+
+    def join(self, ids: np.ndarray) -> bytes:
+        """The bytes of the ids, one after the other; many ids in pieces."""
+        parts = (ids[i : i + GATHER] for i in range(0, len(ids), GATHER))
+        return b"".join(self.blob[_ragged(self.first[p], self.size[p])].tobytes() for p in parts)
 
-    return run
+
+def _id_lists(lists: pa.Array) -> Iterator[np.ndarray]:
+    ids = lists.flatten().to_numpy(zero_copy_only=False)
+    end = 0
+    for n in lists.value_lengths().fill_null(0).to_pylist():
+        end += n
+        yield ids[end - n : end]
 
 
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
-    """`encoded` (doc_id, ids) with a column `decoded`, the bytes of the ids.
+    """(doc_id, decoded) for (doc_id, ids): the bytes of the ids, joined from the token-byte
+    table.  Null lists decode to no bytes."""
+    ranks = encoded.sparkSession.sparkContext.broadcast(read_ranks(vocabulary))
 
-    The token-byte table has one row per entry of the vocabulary, which bounds it.
-    """
-    table = encoded.sparkSession.sparkContext.broadcast(read_ranks(vocabulary))
-    rows = encoded.select("doc_id", "ids")
-    return rows.mapInArrow(_decode(table, 1), "doc_id bigint, ids array<int>, decoded binary")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = TokenBytes(ranks.value)
+        for batch in batches:
+            decoded = pa.array([table.join(ids) for ids in _id_lists(batch.column(1))], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), decoded], names=["doc_id", "decoded"])
+
+    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, decoded binary")
 
 
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        lists = batch.column("ids")
-        counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-        ids = lists.flatten().to_numpy(zero_copy_only=False).astype("<u4")
-        ends = counts.cumsum()
-        of_ids = [hashlib.sha256(ids[e - c : e]).hexdigest() for e, c in zip(ends.tolist(), counts.tolist())]
-        of_bytes = [hashlib.sha256(x.as_buffer()).hexdigest() for x in batch.column("decoded")]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(counts), pa.array(of_ids), pa.array(of_bytes)],
-            names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-        )
+def digests(encoded: DataFrame, vocabulary: str) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) for (doc_id, ids): what encoders and
+    decoders must agree on.  Decodes as `decode` does, and keeps the digest only."""
+    ranks = encoded.sparkSession.sparkContext.broadcast(read_ranks(vocabulary))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = TokenBytes(ranks.value)
+        for batch in batches:
+            counts, of_ids, of_bytes = [], [], []
+            for ids in _id_lists(batch.column(1)):
+                counts.append(len(ids))
+                of_ids.append(hashlib.sha256(ids.astype("<u4")).hexdigest())
+                of_bytes.append(hashlib.sha256(table.join(ids)).hexdigest())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())],
+                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """Counts and digests of (doc_id, ids, decoded): what two encoders must agree on."""
-    return decoded.mapInArrow(_digest, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
 def round_trip(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
-    """Encode all texts, decode the ids, and return (doc_id, n_tokens, ids_sha256, decoded_sha256)."""
-    return digests(decode(encode(docs, vocabulary, pattern), vocabulary))
+    """Encode all texts, decode the ids, and return the digests of both."""
+    return digests(encode(docs, vocabulary, pattern), vocabulary)
