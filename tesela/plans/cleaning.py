@@ -1,9 +1,10 @@
 """Cleaning of the three raw tables.  Every raw column is text.
 
 The order of the steps is part of the result: a mean is taken after the filters, an outlier
-fence before the segment filter.  Text is parsed once: the typed rows that pass the first
-filters are written to the shared folder, and the passes for quartiles and means read single
-typed columns from there.  A statistic comes to the driver as one or two numbers.
+fence before the segment filter.  Nothing is written on the way: the passes for quartiles and
+means scan only the columns that the filters and the statistic need, which is less than writing
+and reading a typed copy of all.  A statistic comes to the driver as one or two numbers, so the
+plan of the result is one scan with filters.
 """
 
 from __future__ import annotations
@@ -22,7 +23,6 @@ from ..operators.filters import (
     keep_status,
 )
 from ..operators.impute import impute_mean
-from ..session import materialise
 from . import contract as C
 
 
@@ -51,7 +51,6 @@ def clean_students(
     out = keep_known(out, C.KEY)
     if C.SCORE in df.columns:
         out = in_range_or_null(out, C.SCORE, *score_range)
-    out = materialise(out, "typed-students")
     if C.SCORE in df.columns:
         out = iqr_filter(out, C.SCORE, error=outlier_error)
     if "fami_tieneinternet" in df.columns:
@@ -71,7 +70,6 @@ def clean_access(
     out = keep_known(out, C.KEY)
     if "no_de_accesos" in df.columns:
         out = in_range_or_null(out, "no_de_accesos", low=0)
-    out = materialise(out, "typed-access")
     if "no_de_accesos" in df.columns:
         out = iqr_filter(out, "no_de_accesos", error=outlier_error)
     if "segmento" in df.columns:
@@ -86,5 +84,4 @@ def clean_coverage(df: DataFrame, scale: int | None = None) -> DataFrame:
     out = parse_columns(df, C.COVERAGE_NUMBERS).withColumns(
         {C.KEY: _code(df, "c_digo_municipio"), C.YEAR: year_or_null(column_or(df, "a_o", "string"))}
     )
-    out = materialise(keep_known(out, C.KEY), "typed-coverage")
-    return impute_mean(out, "cobertura_neta", scale)
+    return impute_mean(keep_known(out, C.KEY), "cobertura_neta", scale)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ..operators.columns import select_present
 from ..sources.files import write_parquet
 from .cleaning import clean_access, clean_coverage, clean_students
 from .municipal import connectivity
@@ -16,16 +17,24 @@ def run_pipeline(
     folder: str,
     outlier_error: float | None = None,
     scale: int | None = None,
+    columns: dict[str, list[str]] | None = None,
+    rows: int | None = None,
 ) -> dict[str, DataFrame]:
     """Clean, write and return the tables as read back from `folder`.
 
-    Each table is written once; the connectivity table is computed from the written files, so
-    no cleaning step runs twice."""
+    `columns` names the raw columns to keep of a table, of which the present ones are read;
+    `rows` limits the raw rows of each table, for development.  Each table is written once; the
+    connectivity table is computed from the written files, so no cleaning step runs twice."""
     spark = students.sparkSession
+    raw = {"students": students, "access": access, "coverage": coverage}
+    for name, wanted in (columns or {}).items():
+        raw[name] = select_present(raw[name], wanted)
+    if rows is not None:
+        raw = {name: table.limit(rows) for name, table in raw.items()}
     cleaned = {
-        "students": clean_students(students, outlier_error=outlier_error, scale=scale),
-        "access": clean_access(access, outlier_error=outlier_error),
-        "coverage": clean_coverage(coverage, scale=scale),
+        "students": clean_students(raw["students"], outlier_error=outlier_error, scale=scale),
+        "access": clean_access(raw["access"], outlier_error=outlier_error),
+        "coverage": clean_coverage(raw["coverage"], scale=scale),
     }
     out = {}
     for name, table in cleaned.items():
