@@ -43,7 +43,11 @@ WORD_OR_END = re.compile(r"[^\W\d_]+|[.!?;:\n]")
 #: Learning: at most so many labelled texts are read, the first ones by a hash of their ids.
 SAMPLE = 20_000
 BEGINNINGS = range(3, 8)
-MOST_UNITS = 4_000
+MOST_UNITS = 2_000
+#: A unit is learned if it explains so many toxic texts that better ones do not.
+NEW_TEXTS = 3
+#: The weight from which on a text needs no further units.
+EXPLAINED = 3.5
 REMEMBERED = 1_000_000
 
 
@@ -218,12 +222,13 @@ def held_out(part: int, of: int, key: str = "doc_id") -> Column:
 
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, part: int, of: int, sample: int) -> DataFrame:
     """(text, label) of at most `sample` labelled texts outside the held-out part: those whose
-    ids have the smallest hashes.  The ids of the sample are what bounds the broadcast."""
+    ids have the smallest hashes.  Equal texts count once.  The ids of the sample are what bounds
+    the broadcast."""
     known = labels.select(whole_number().alias("_id"), F.col(f"`{label}`").cast("int").alias("label"))
     known = known.where(~held_out(part, of, "_id") & F.col("_id").isNotNull() & F.col("label").isNotNull())
     known = known.groupBy("_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("_id"), "_id").limit(sample)
     texts = docs.select(whole_number().alias("_id"), text_of().alias("text"))
-    return texts.join(F.broadcast(known), "_id").select("text", "label")
+    return texts.join(F.broadcast(known), "_id").groupBy("text").agg(F.max("label").alias("label"))
 
 
 def learn(docs: DataFrame, labels: DataFrame, part: int = 0, of: int = 5, sample: int = SAMPLE) -> Model:
@@ -246,17 +251,33 @@ def learn(docs: DataFrame, labels: DataFrame, part: int = 0, of: int = 5, sample
         .orderBy(F.desc("z"), "unit")
         .limit(MOST_UNITS)
     )
-    model = Model()
-    for unit, odds, _ in sorted(best.collect(), key=lambda r: (len(r[0]), r[0])):
-        word = unit.strip()
-        # Units that a shorter beginning covers as well add nothing.
-        shorter = max((model.beginnings.get(word[:k], 0.0) for k in BEGINNINGS if k < len(unit)), default=0.0)
-        if odds > shorter + 1.0:
-            (model.words if unit.endswith(" ") else model.beginnings)[word] = min(odds / 2.0, 4.0)
+    # The most significant first; of about equal ones the longest, which fits fewer other words.
+    found = sorted(best.collect(), key=lambda r: (-round(20 * math.log(r["z"])), -len(r["unit"]), r["unit"]))
+    of_texts = _units_of_texts(rows.where("label = 1"), [r["unit"] for r in found])
+    model, explained = Model(), np.zeros(len(of_texts))
+    has = [np.array([i in of_text for of_text in of_texts], bool) for i in range(len(found))]
+    for (unit, odds, _), texts in zip(found, has):
+        # Units of texts that are explained already add nothing.
+        if (texts & (explained < EXPLAINED)).sum() >= max(NEW_TEXTS, 0.002 * len(of_texts)):
+            weight = min(odds / 2.0, 4.0)
+            (model.words if unit.endswith(" ") else model.beginnings)[unit.strip()] = weight
+            explained += weight * texts
     model.judge = fit_judge(rows, model)
     return model
 
 
+def _units_of_texts(rows: DataFrame, units: list[str]) -> list[set[int]]:
+    """Which of the units each text has, by number; texts and units are those of the sample."""
+    number = {u: i for i, u in enumerate(units)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [sorted(number[u] for u in _units(t.as_py()) if u in number) for t in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32()))], names=["units"])
+
+    return [set(r["units"]) for r in rows.select("text").mapInArrow(run, "units array<int>").collect()]
+
+
 def fit_judge(rows: DataFrame, model: Model) -> list[float]:
     """Logistic regression of the label on the clause features of the sample: a few Newton
     steps with a weak ridge."""
