@@ -140,7 +140,10 @@ def links_of(prints: DataFrame, most: int = 4) -> DataFrame:
     """
     if most > 4:
         raise ValueError("the keys find differences of up to four bits")
-    keys = prints.select("print", "n").mapInArrow(_keys, "key bigint, print bigint, n bigint")
+    # A print becomes a hundred rows: deal the prints over all partitions first.
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = prints.select("print", "n").repartition(parts, "print")
+    keys = dealt.mapInArrow(_keys, "key bigint, print bigint, n bigint")
     shared = keys.groupBy("key").agg(F.min("print").alias("low"), F.max("print").alias("high"), F.max_by("print", "n").alias("hub"))
     shared = materialise(shared.where("low != high").select("key", "hub"), "shared-keys")
     if shared.count() <= BROADCAST_KEYS:
