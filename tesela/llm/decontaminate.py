@@ -16,9 +16,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: The same in texts that keep their capitals.
 WORD_AS_WRITTEN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: Up to so many n-grams are broadcast: about 250 bytes each, so half a GB at most.  A larger
+#: Up to so many n-grams are broadcast: about 250 bytes each, so 100 MB at most.  A larger
 #: benchmark is joined by shuffling the windows.
-BROADCAST_GRAMS = 2_000_000
+BROADCAST_GRAMS = 400_000
 
 
 def words_of(text: str = "text") -> Column:

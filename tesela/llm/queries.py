@@ -116,7 +116,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_substring_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.report(repeats.repeated_sentences(read_table(spark, sf_dir, "documents")))
+    """The cleaned texts of all documents, and how many sentences each has lost."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return repeats.remove_repeats(docs, count="n_removed").select("doc_id", "n_removed", "text")
 
 
 RULES = [

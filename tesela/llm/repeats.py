@@ -14,8 +14,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
-from .common import materialise, text_of, whole_number
+from .common import materialise, sized, text_of, whole_number
 
 MIN_WORDS = 16
 #: A sentence and what divides it from the next one.
@@ -23,6 +24,9 @@ SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?]+|\n|$)[\s]*")
 #: Texts without an id count as one text behind all others.
 LAST = 2**63 - 1
 
+#: Up to so many removed sentences (four bytes each) are broadcast to the texts.
+BROADCAST_SENTENCES = 10_000_000
+
 SPANS = "doc_id bigint, h1 bigint, h2 bigint, start int, length int, again boolean"
 
 
@@ -113,27 +117,26 @@ def repeated_sentences(docs: DataFrame, min_words: int = MIN_WORDS, text: str =
     )
 
 
-def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """All rows and columns of `docs`, with `text` freed of its repeated sentences."""
+def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, count: str | None = None) -> DataFrame:
+    """All rows and columns of `docs`, with `text` freed of its repeated sentences.  With `count`,
+    a column of that name tells how many were removed.  Null texts stay null."""
     gone = repeated_sentences(docs, min_words).where(F.size("removed") > 0)
-    gone = gone.groupBy(F.col("doc_id").alias("_id")).agg(F.first("removed").alias("_removed"))
-
-    @F.udf("string")
-    def without(text, removed):
-        if text is None or not removed:
-            return text
-        out = set(removed)
-        return "".join(s for i, s in enumerate(sentences(text)) if i not in out)
-
-    joined = docs.join(gone, whole_number() == F.col("_id"), "left")
-    return joined.withColumn("text", without("text", "_removed")).select(*(F.col(f"`{c}`") for c in docs.columns))
-
-
-def report(found: DataFrame) -> DataFrame:
-    """doc_id, n_sentences, n_removed, removed_sha256."""
-    return found.select(
-        "doc_id",
-        "n_sentences",
-        F.size("removed").cast("long").alias("n_removed"),
-        F.sha2(F.array_join(F.transform("removed", lambda i: i.cast("string")), ","), 256).alias("removed_sha256"),
-    )
+    gone = gone.groupBy(F.coalesce("doc_id", F.lit(LAST)).alias("_id")).agg(F.first("removed").alias("_removed"))
+    gone = materialise(gone, "removed-by-text")
+    if (gone.agg(F.sum(F.size("_removed"))).first()[0] or 0) <= BROADCAST_SENTENCES:
+        gone = sized(gone)
+
+    @arrow_udf("string")
+    def without(texts: pa.Array, removed: pa.Array) -> pa.Array:
+        out = []
+        for text, numbers in zip(texts.to_pylist(), removed.to_pylist()):
+            if text is not None and numbers:
+                drop = set(numbers)
+                text = "".join(s for i, s in enumerate(sentences(text)) if i not in drop)
+            out.append(text)
+        return pa.array(out, pa.string())
+
+    joined = docs.join(gone, F.coalesce(whole_number(), F.lit(LAST)) == F.col("_id"), "left")
+    counted = [F.coalesce(F.size("_removed"), F.lit(0)).cast("long").alias(count)] if count else []
+    cleaned = joined.withColumn("text", without("text", "_removed"))
+    return cleaned.select(*(F.col(f"`{c}`") for c in docs.columns), *counted)

@@ -234,6 +234,8 @@ def test_repeated_passages(spark, hard_texts):
     rows = {r.doc_id: r.text for r in cleaned.collect()}
     assert cleaned.columns == docs_of(spark, texts).columns and rows[10] == dict(texts)[10] and rows[2] is None
     assert "subordinate" not in rows[11] and rows[11].startswith("Something else here.")
+    counted = repeats.remove_repeats(docs_of(spark, texts), count="n_removed").collect()
+    assert {r.doc_id: r.n_removed for r in counted} == {i: len(v) for i, v in brute_repeats(texts).items()}
 
 
 def test_sentences_join_to_the_text(hard_texts):
