@@ -47,7 +47,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other run uses."""
-    return f"{shared_dir(spark).rstrip('/')}/tesela/{label}-{uuid.uuid4().hex}"
+    return f"{_work(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _work(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/tesela/{spark.sparkContext.applicationId}"
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Delete what this application has written below the shared folder.  To be called at its
+    end: results that were not saved elsewhere still read those tables."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_work(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df, label: str = "stage"):

@@ -12,7 +12,7 @@ sys.path.insert(0, str(ROOT / "tests"))
 
 @pytest.fixture(scope="session")
 def spark():
-    from tesela.session import build_session
+    from tesela.session import build_session, clear_work
 
     session = build_session(
         "tests",
@@ -24,4 +24,5 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_work(session)
     session.stop()
