@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of, whole_number
+from .common import materialise, text_of, whole_number
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END = range(7)
 
@@ -236,7 +236,7 @@ def learn(docs: DataFrame, labels: DataFrame, part: int = 0, of: int = 5, sample
 
     Without toxic or without clean labels the fixed lexicon and judge are used.
     """
-    rows = training_sample(docs, labels, "toxic", part, of, sample)
+    rows = materialise(training_sample(docs, labels, "toxic", part, of, sample), "toxicity-sample")
     counts = rows.mapInArrow(_count_units, "unit string, toxic long, clean long").groupBy("unit").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     n = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if not n.get(1) or not n.get(0):
