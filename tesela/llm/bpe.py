@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from .common import text_of, whole_number
 
 #: A block of documents ends after so many words, or so many different ones.
-BLOCK_WORDS = 6_000_000
-BLOCK_DISTINCT = 500_000
+BLOCK_WORDS = 3_000_000
+BLOCK_DISTINCT = 300_000
 #: Words of a block are dealt to so many buckets for each shuffle partition.
 BUCKETS_PER_PARTITION = 8
 #: Words put together at once.
