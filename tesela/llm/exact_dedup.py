@@ -231,9 +231,16 @@ def first_half() -> Column:
 
 def drop_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that stay, with all columns; of rows equal in id and text, one."""
+    found = duplicates(docs, first_half())
+    return one_of_each(docs, found.select(F.struct("doc_id", "text_sha256").alias("_key"), "kept"))
+
+
+def one_of_each(docs: DataFrame, judged: DataFrame) -> DataFrame:
+    """The rows of `docs` without those that `judged` (_key, kept) drops; its keys are structs of
+    doc_id and text_sha256.  A key stays if one of its rows is kept, and then with one row."""
     key = F.struct(whole_number().alias("doc_id"), text_digest().alias("text_sha256"))
-    found = duplicates(docs, first_half()).groupBy(F.struct("doc_id", "text_sha256").alias("_key"))
-    found = materialise(found.agg(F.max("kept").alias("kept"), F.count("*").alias("n")).where("not kept or n > 1"), "dropped")
+    found = judged.groupBy("_key").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
+    found = materialise(found.where("not kept or n > 1"), "dropped")
     left = docs.join(sized(materialise(found.where("not kept").select("_key"), "gone")), key == F.col("_key"), "left_anti")
     repeats = materialise(found.where("kept").select("_key"), "repeats")
     if repeats.isEmpty():

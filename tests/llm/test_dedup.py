@@ -12,7 +12,7 @@ import xxhash
 from llm.conftest import PASSAGE, docs_of
 from pyspark.sql import functions as F
 
-from tesela.llm import common, components, decontaminate, exact_dedup, repeats, simhash
+from tesela.llm import common, components, decontaminate, exact_dedup, repeats, shingles, simhash
 
 
 def groups_of(texts):
@@ -248,3 +248,53 @@ def test_repeats_of_null_ids_and_nothing(spark, hard_texts):
     removed = {(r.doc_id, r.n_sentences): bool(r.removed) for r in got}
     assert removed[1, 5] is False and removed[None, 5] is True
     assert repeats.repeated_sentences(docs_of(spark, hard_texts).where("false")).count() == 0
+
+
+def brute_similar(texts, width=5):
+    """The rows that stay of groups with a Jaccard coefficient of 0.8 or more, (id, text)."""
+
+    def grams(text):
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        return {" ".join(w[i : i + width]) for i in range(max(len(w) - width + 1, 1))} if w else set()
+
+    sets, part = [grams(t) for _, t in texts], list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) and part[a] != part[b]:
+                part = [part[b] if p == part[a] else p for p in part]
+    first = {}
+    for p, (i, t) in zip(part, texts):
+        row = (i is None, i or 0, hashlib.sha256((t or "").encode()).hexdigest(), i, t or "")
+        first[p] = min(first.get(p, row), row)
+    return sorted(((r[3], r[4]) for r in first.values()), key=str)
+
+
+@pytest.mark.parametrize("limit", [0, None])
+def test_similar_texts_leave_one(spark, hard_texts, limit, monkeypatch):
+    """Copies with edited words far beyond four bits, null ids among them, and one id for two texts."""
+    if limit is not None:
+        monkeypatch.setattr(common, "BROADCAST_ROWS", limit)
+        monkeypatch.setattr(shingles, "BROADCAST_KEYS", limit)
+    rng = np.random.default_rng(4)
+    texts = list(hard_texts)
+    for group in range(25):
+        base = [str(w) for w in rng.integers(0, 10_000, 300)]
+        for copy in range(5):
+            edited = list(base)
+            for at in rng.choice(300, copy * 3, replace=False):
+                edited[at] = f"new{copy}"
+            texts.append((None if copy in (0, group % 5) else 1000 + 10 * group + copy, " ".join(edited)))
+    texts.append((1001, "another text of the same id that nothing resembles at all"))
+    docs = docs_of(spark, texts)
+    kept = shingles.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text or "") for r in kept.collect()), key=str) == brute_similar(texts)
+
+
+def test_similar_texts_of_a_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = sorted({r.text: (r.doc_id, r.text) for r in docs.collect()}.values())
+    docs = docs.join(spark.createDataFrame([(i,) for i, _ in texts], "doc_id bigint"), "doc_id")
+    got = shingles.keep_one(docs).select("doc_id", "text").collect()
+    assert sorted(map(tuple, got), key=str) == brute_similar(texts) and len(got) < len(texts)
+    assert shingles.keep_one(docs.where("false")).count() == 0
