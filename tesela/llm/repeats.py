@@ -3,6 +3,7 @@
 From each sentence on, the shortest run of consecutive sentences of at least 16 words is a span;
 a span is hashed to 128 bits.  Spans are joined globally by their hashes, and the sentences
 under any span that came before, in a text of smaller id or earlier in the text, are removed.
+Spans and removals belong to rows, so ids may be null or repeated.
 """
 
 from __future__ import annotations
@@ -21,13 +22,11 @@ from .common import materialise, sized, text_of, whole_number
 MIN_WORDS = 16
 #: A sentence and what divides it from the next one.
 SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?]+|\n|$)[\s]*")
-#: Texts without an id count as one text behind all others.
-LAST = 2**63 - 1
 
 #: Up to so many removed sentences (four bytes each) are broadcast to the texts.
 BROADCAST_SENTENCES = 10_000_000
 
-SPANS = "doc_id bigint, h1 bigint, h2 bigint, start int, length int, again boolean"
+SPANS = "row bigint, doc_id bigint, tie bigint, h1 bigint, h2 bigint, start int, length int, again boolean"
 
 
 def sentences(text: str) -> list[str]:
@@ -58,31 +57,32 @@ def spans(text: str, min_words: int = MIN_WORDS) -> tuple[list[tuple[int, int, b
 
 def _cut(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["row", "doc_id", "tie", "h1", "h2", "start", "length", "again"]
         for batch in batches:
-            ids, digests, starts, lengths, again = [], [], [], [], []
-            of_text = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            owners, digests, starts, lengths, again, sizes = [], [], [], [], [], []
+            for row, text in zip(batch.column(0).to_pylist(), batch.column(3)):
                 found, n = spans(text.as_py(), min_words)
                 seen = set()
                 for start, length, digest in found:
-                    ids.append(doc_id)
+                    owners.append(row)
                     digests.append(digest)
                     starts.append(start)
                     lengths.append(length)
                     again.append(digest in seen)
                     seen.add(digest)
-                of_text.append((doc_id, n))
+                sizes.append(n)
             halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-            if len(ids):
+            if len(owners):
+                none = pa.nulls(len(owners), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(starts, pa.int32()), pa.array(lengths, pa.int32()), pa.array(again, pa.bool_())],
-                    names=["doc_id", "h1", "h2", "start", "length", "again"],
+                    [pa.array(owners, pa.int64()), none, none, pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(starts, pa.int32()), pa.array(lengths, pa.int32()), pa.array(again, pa.bool_())],
+                    names=names,
                 )
-            if of_text:  # one row for each text: no hash, and its number of sentences
-                n, none = len(of_text), pa.nulls(len(of_text), pa.int64())
+            if sizes:  # one row for each text: no hash, its id and tie, and its number of sentences
+                n, none = len(sizes), pa.nulls(len(sizes), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([i for i, _ in of_text], pa.int64()), none, none, pa.array([-1] * n, pa.int32()), pa.array([k for _, k in of_text], pa.int32()), pa.array([False] * n)],
-                    names=["doc_id", "h1", "h2", "start", "length", "again"],
+                    [batch.column(0), batch.column(1), batch.column(2), none, none, pa.array([-1] * n, pa.int32()), pa.array(sizes, pa.int32()), pa.array([False] * n)],
+                    names=names,
                 )
 
     return run
@@ -93,36 +93,48 @@ def _covered(spans_column: str):
     return F.array_sort(F.array_distinct(F.flatten(F.transform(spans_column, lambda s: F.sequence(s["start"], s["start"] + s["length"] - 1)))))
 
 
+def _removed(numbered: DataFrame, min_words: int, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(row, doc_id, n_sentences, removed) for every row of `numbered`, docs with a number `_row`."""
+    source = numbered.select("_row", whole_number(key).alias("doc_id"), F.xxhash64(text_of(text)), text_of(text))
+    table = materialise(source.mapInArrow(_cut(min_words), SPANS), "spans")
+    hashed = table.where("h1 is not null").select("row", "h1", "h2", "start", "length", "again")
+    texts = table.where("h1 is null").select("row", "doc_id", "tie", F.col("length").alias("n_sentences"))
+    several = hashed.groupBy("h1", "h2").agg(F.min("row").alias("low"), F.max("row").alias("high"), F.max("again").alias("twice"))
+    several = materialise(several.where("low < high or twice").select("h1", "h2"), "repeated-spans")
+    members = materialise(hashed.join(several, ["h1", "h2"]), "members")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie", "row")
+    first = members.join(texts, "row").groupBy("h1", "h2").agg(F.min(order)["row"].alias("first_row"))
+    later = members.join(materialise(first, "first"), ["h1", "h2"]).where("row != first_row or again")
+    later = materialise(later.select("row", "start", "length"), "later-spans")
+    gone = later.groupBy("row").agg(F.collect_set(F.struct("start", "length")).alias("spans")).select("row", _covered("spans").alias("removed"))
+    return texts.join(materialise(gone, "removed"), "row", "left").select(
+        "row",
+        "doc_id",
+        F.col("n_sentences").cast("long").alias("n_sentences"),
+        F.coalesce("removed", F.array().cast("array<int>")).alias("removed"),
+    )
+
+
 def repeated_sentences(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(doc_id, n_sentences, removed) for every row of `docs`; removed lists the numbers of the
     sentences under a repeated span that is not the first one.
 
-    The first one is that of the smallest id, and in a text the earliest.  Rows of equal ids
-    count as one text and do not make spans of each other repeated; rows without ids as one text
-    that comes last.  Null, empty and short texts have no spans.  Other columns are not read.
+    The first one is that of the smallest id, null ids last, of equal ids that of the smallest
+    hash of the text, and in a text the earliest; of rows equal in both, one is the first.  Every
+    row is a text of its own.  Null, empty and short texts have no spans.  Other columns are not
+    read.
     """
-    source = docs.select(F.coalesce(whole_number(key), F.lit(LAST)).alias("doc_id"), text_of(text))
-    table = materialise(source.mapInArrow(_cut(min_words), SPANS), "spans")
-    hashed = table.where("h1 is not null")
-    several = hashed.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"), F.max("again").alias("twice"))
-    several = materialise(several.where("first_id < last_id or twice").drop("last_id", "twice"), "repeated-spans")
-    later = hashed.join(several, ["h1", "h2"]).where("doc_id != first_id or again")
-    later = materialise(later.select("doc_id", "start", "length"), "later-spans")
-    gone = later.groupBy("doc_id").agg(F.collect_set(F.struct("start", "length")).alias("spans")).select("doc_id", _covered("spans").alias("removed"))
-    texts = table.where("h1 is null").select("doc_id", F.col("length").alias("n_sentences"))
-    return texts.join(materialise(gone, "removed"), "doc_id", "left").select(
-        F.nullif("doc_id", F.lit(LAST)).alias("doc_id"),
-        F.col("n_sentences").cast("long").alias("n_sentences"),
-        F.coalesce("removed", F.array().cast("array<int>")).alias("removed"),
-    )
+    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    return _removed(numbered, min_words, text, key).drop("row")
 
 
 def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, count: str | None = None) -> DataFrame:
     """All rows and columns of `docs`, with `text` freed of its repeated sentences.  With `count`,
-    a column of that name tells how many were removed.  Null texts stay null."""
-    gone = repeated_sentences(docs, min_words).where(F.size("removed") > 0)
-    gone = gone.groupBy(F.coalesce("doc_id", F.lit(LAST)).alias("_id")).agg(F.first("removed").alias("_removed"))
-    gone = materialise(gone, "removed-by-text")
+    a column of that name tells how many were removed.  Null texts stay null.  The rows are
+    written once, so that their numbers hold."""
+    numbered = materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    gone = _removed(numbered, min_words).where(F.size("removed") > 0)
+    gone = materialise(gone.select(F.col("row").alias("_id"), F.col("removed").alias("_removed")), "removed-by-text")
     if (gone.agg(F.sum(F.size("_removed"))).first()[0] or 0) <= BROADCAST_SENTENCES:
         gone = sized(gone)
 
@@ -136,7 +148,7 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, count: str | Non
             out.append(text)
         return pa.array(out, pa.string())
 
-    joined = docs.join(gone, F.coalesce(whole_number(), F.lit(LAST)) == F.col("_id"), "left")
+    joined = numbered.join(gone, F.col("_row") == F.col("_id"), "left")
     counted = [F.coalesce(F.size("_removed"), F.lit(0)).cast("long").alias(count)] if count else []
     cleaned = joined.withColumn("text", without("text", "_removed"))
     return cleaned.select(*(F.col(f"`{c}`") for c in docs.columns), *counted)

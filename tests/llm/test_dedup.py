@@ -298,3 +298,16 @@ def test_similar_texts_of_a_table(spark):
     got = shingles.keep_one(docs).select("doc_id", "text").collect()
     assert sorted(map(tuple, got), key=str) == brute_similar(texts) and len(got) < len(texts)
     assert shingles.keep_one(docs.where("false")).count() == 0
+
+
+def test_repeats_belong_to_rows(spark):
+    """Null and repeated ids with different texts lose their own repeats only."""
+    other = "These are words of another text, which nothing else in this table has, and more than sixteen of them."
+    texts = [(None, PASSAGE), (1, PASSAGE), (None, "Nothing."), (2, "Alone."), (2, PASSAGE), (3, f"{other} Third."), (None, f"New. {other}")]
+    got = repeats.remove_repeats(docs_of(spark, texts), count="n_removed").collect()
+    want = [(-1, 5, ""), (1, 0, PASSAGE), (-1, 0, "Nothing."), (2, 0, "Alone."), (2, 5, ""), (3, 0, f"{other} Third."), (-1, 1, "New. ")]
+    assert sorted((r.doc_id or -1, r.n_removed, r.text) for r in got) == sorted(want)
+    got = repeats.remove_repeats(docs_of(spark, [(None, f"One. {other}"), (None, f"Two. {other}")]), count="n_removed").collect()
+    assert sorted(r.n_removed for r in got) == [0, 1]
+    twice = repeats.remove_repeats(docs_of(spark, [(4, PASSAGE), (4, PASSAGE)])).collect()
+    assert sorted(r.text for r in twice) == ["", PASSAGE]
