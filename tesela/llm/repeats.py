@@ -1,7 +1,8 @@
 """Repeated passages by sliding sentence spans.
 
-From each sentence on, the shortest run of consecutive sentences of at least 16 words is a span;
-a span is hashed to 128 bits.  Spans are joined globally by their hashes, and the sentences
+For each sentence, the shortest runs of consecutive sentences of at least 16 words that start with
+it and that end with it are spans, so spans cover every run of at least 16 words.  A span is hashed
+to 128 bits.  Spans are joined globally by their hashes, and the sentences
 under any span that came before, in a text of smaller id or earlier in the text, are removed.
 Spans and removals belong to rows, so ids may be null or repeated.
 """
@@ -42,17 +43,25 @@ def spans(text: str, min_words: int = MIN_WORDS) -> tuple[list[tuple[int, int, b
     words = [s.split() for s in pieces]
     sizes = [len(w) for w in words]
     norm = [" ".join(w).encode() for w in words]
-    found, stop, total = [], 0, 0
+    runs, stop, total = set(), 0, 0
     for start, size in enumerate(sizes):
         while total < min_words and stop < len(sizes):
             total += sizes[stop]
             stop += 1
         if total < min_words:
             break
-        if size:  # an empty piece starts no span of its own
-            found.append((start, stop - start, xxhash.xxh3_128_digest(b"\n".join(norm[start:stop]))))
+        if size:  # an empty piece starts no span of its own, and ends none
+            runs.add((start, stop - start))
         total -= size
-    return found, len(pieces)
+    start, total = 0, 0
+    for last, size in enumerate(sizes):
+        total += size
+        while start < last and total - sizes[start] >= min_words:
+            total -= sizes[start]
+            start += 1
+        if size and total >= min_words:
+            runs.add((start, last - start + 1))
+    return [(start, length, xxhash.xxh3_128_digest(b"\n".join(norm[start : start + length]))) for start, length in sorted(runs)], len(pieces)
 
 
 def _cut(min_words: int):

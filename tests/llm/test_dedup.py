@@ -311,3 +311,19 @@ def test_repeats_belong_to_rows(spark):
     assert sorted(r.n_removed for r in got) == [0, 1]
     twice = repeats.remove_repeats(docs_of(spark, [(4, PASSAGE), (4, PASSAGE)])).collect()
     assert sorted(r.text for r in twice) == ["", PASSAGE]
+
+
+def test_whole_sentences_of_a_passage_go(spark):
+    """Passages of whole sentences, put together without spans(): all of their sentences go."""
+    rng = np.random.default_rng(6)
+
+    def sentence(size):
+        return " ".join(f"w{n}" for n in rng.integers(0, 10**9, size)) + ". "
+
+    texts, want = [], {}
+    for i, sizes in enumerate([(20, 2, 3), (3, 20, 2), (8, 1, 8), (2, 30, 1, 1, 40, 5), (1,) * 16, (17, 15), (5, 5, 5, 1), *(rng.integers(1, 25, 6) for _ in range(20))]):
+        passage = "".join(sentence(n) for n in sizes)
+        texts += [(i, sentence(9) + passage + sentence(4)), (100 + i, sentence(3) + sentence(30) + passage + sentence(2))]
+        want |= {i: [], 100 + i: list(range(2, 2 + len(sizes))) if sum(sizes) >= 16 else []}
+    got = {r.doc_id: list(r.removed) for r in repeats.repeated_sentences(docs_of(spark, texts)).collect()}
+    assert got == want
