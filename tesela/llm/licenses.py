@@ -1,7 +1,9 @@
 """Licence scans: lines against licence templates by the Dice coefficient of word bigrams.
 
 A template can only reach the threshold for lines of about its own size, so the number of
-bigrams of a line selects the templates that are compared with it.
+bigrams of a line selects the templates that are compared with it.  Notices that are wrapped over
+several lines, or stand inside a longer one, are found as windows of words of a paragraph: lines
+up to the next one without words, with their ends joined.
 """
 
 from __future__ import annotations
@@ -65,30 +67,117 @@ class Scanner:
             for a in range(1, int((2 - threshold) / threshold * b) + 2):
                 if 2 * min(a, b) / (a + b) >= threshold:
                     self.of_size.setdefault(a, []).append((name, grams))
+        #: For each bigram the templates that have it, and how many of theirs a window must have.
+        self.owners: dict[tuple[str, str], list[int]] = {}
+        for k, (_, grams) in enumerate(self.templates):
+            for gram in grams:
+                self.owners.setdefault(gram, []).append(k)
+        self.every = frozenset(self.owners)
+        self.needed = [threshold * len(grams) / (2 - threshold) - 1e-9 for _, grams in self.templates]
+
+    def split(self, line: str) -> list[str]:
+        return self.words(line.translate(TO_LOWER))
 
     def bigrams(self, line: str) -> set[tuple[str, str]]:
-        words = self.words(line.translate(TO_LOWER))
+        words = self.split(line)
         return set(zip(words, words[1:]))
 
     def scan(self, text: str) -> list[tuple[int, str, float]]:
         """(line, licence, dice) of each line that reaches the threshold: its best template, of
-        equals the first by name."""
-        found = []
+        equals the first by name; and of each window of a paragraph, by its first line.
+
+        A window inside a line that reaches the threshold is that line.  A window of several
+        lines takes the place of lines in it that reach less.  Windows do not overlap; the best
+        ones come first.
+        """
+        found: dict[int, tuple[str, float]] = {}
+        blocks: list[tuple[int, str, float]] = []
+        words: list[str] = []
+        places: list[int] = []
+        known: set[tuple[str, str]] = set()
+
+        def close() -> None:
+            if len(known) > 1 or self.every and len(known) >= min(self.needed):
+                blocks.extend(self._windows(words, places, known, found))
+            words.clear()
+            places.clear()
+            known.clear()
+
         for number, line in enumerate(text.split("\n")):
-            grams = self.bigrams(line)
+            own = self.split(line)
+            if not own:
+                close()
+                continue
+            grams = set(zip(own, own[1:]))
             best = None
             for name, other in self.of_size.get(len(grams), ()):
                 dice = 2 * len(grams & other) / (len(grams) + len(other))
                 if dice >= self.threshold and (best is None or (-dice, name) < best):
                     best = (-dice, name)
             if best:
-                found.append((number, best[1], -best[0]))
-        return found
+                found[number] = (best[1], -best[0])
+            known |= self.every & grams
+            if words and (words[-1], own[0]) in self.every:
+                known.add((words[-1], own[0]))
+            words += own
+            places += [number] * len(own)
+        close()
+        return sorted([(number, *hit) for number, hit in found.items()] + blocks)
+
+    def _windows(self, words: list[str], places: list[int], known: set, found: dict) -> list[tuple[int, str, float]]:
+        counts: dict[int, int] = {}
+        for gram in known:
+            for k in self.owners[gram]:
+                counts[k] = counts.get(k, 0) + 1
+        counts = {k: n for k, n in counts.items() if n >= self.needed[k]}
+        if not counts or len(words) > 1 and places[0] == places[-1] and places[0] in found:
+            return []
+        grams = list(zip(words, words[1:]))
+        at: dict[int, list[int]] = {k: [] for k in counts}
+        for i, gram in enumerate(grams):
+            for k in self.owners.get(gram, ()):
+                if k in at:
+                    at[k].append(i)
+        reached = []
+        for k, starts in at.items():
+            name, other = self.templates[k]
+            most = (2 - self.threshold) / self.threshold * len(other) + 1e-9
+            for start in starts:
+                seen, both, best = set(), 0, None
+                for end in range(start, len(grams)):
+                    gram = grams[end]
+                    if end > start and gram == grams[start]:
+                        break  # without its first bigram the window has the same ones
+                    if gram in seen:
+                        continue
+                    seen.add(gram)
+                    if len(seen) > most:
+                        break
+                    if gram in other:
+                        both += 1
+                        dice = 2 * both / (len(seen) + len(other))
+                        if dice >= self.threshold and (best is None or dice > best[0]):
+                            best = (dice, end)
+                if best:
+                    reached.append((-best[0], name, -len(other), start, best[1] + 1))
+        taken, out = [], []
+        for dice, name, _, start, end in sorted(reached):
+            first, last = places[start], places[end]
+            lines = [n for n in range(first, last + 1) if n in found]
+            if any(start <= b and a <= end for a, b in taken):
+                continue
+            if lines and (first == last or any(found[n][1] >= -dice for n in lines)):
+                continue
+            for n in lines:
+                del found[n]
+            taken.append((start, end))
+            out.append((first, name, -dice))
+        return out
 
 
 def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, threshold: float = THRESHOLD, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(doc_id, n_lines, licenses, best_dice) for every row of `docs`: how many lines reach a
-    template, which licences they name (sorted, comma-joined), and the highest coefficient.
+    """(doc_id, n_lines, licenses, best_dice) for every row of `docs`: how many lines and
+    windows reach a template, which licences they name (sorted, comma-joined), and the highest coefficient.
 
     Null and empty texts have no lines that match: 0, an empty string and 0.0.  Keys may be
     null or repeated.  Other columns are not read.
