@@ -147,12 +147,13 @@ class TextCounter:
         cut; where the cut makes it other words (an apostrophe and part of its letters, or the
         first blank of a word behind other white space) those few characters are looked up again.
         """
-        out, base = [0], 0
+        out, base, last = [0], 0, ""
         for piece in self.split(text):
             if piece in self.special:
-                # A cut special string is ordinary text behind the last word.
-                out += [base + self._tail(piece[:n]) for n in range(1, len(piece))] + [base + 1]
-                base += 1
+                # A cut special string is ordinary text that may go on with the last word.
+                rest = base - (self.counter.total(last) if last else 0)
+                out += [rest + self._tail(last + piece[:n]) for n in range(1, len(piece))] + [base + 1]
+                base, last = base + 1, ""
                 continue
             before = ""  # the word before, if white space
             for word in self.words(piece):
@@ -170,7 +171,7 @@ class TextCounter:
                     else:
                         out.append(base + counts[end])
                 base += counts[-1]
-                before = word if word.isspace() else ""
+                before, last = word if word.isspace() else "", word
         return out
 
     def _tail(self, part: str) -> int:

@@ -96,6 +96,11 @@ def test_every_prefix(library, text):
     assert counter.prefixes(text) == [len(library.encode(text[:n], add_special_tokens=False).ids) for n in range(len(text) + 1)]
 
 
+@pytest.mark.parametrize("text", ["foo <|endoftext|>", "foo  <|endoftext|> b", "a! <|endoftext|><|endoftext|>", "it'<|endoftext|>", "x \n <|endoftext|> <|endoftext|>"])
+def test_every_prefix_in_special_strings_behind_blanks(library, text):
+    test_every_prefix(library, text)
+
+
 def test_truncation_by_prefixes(spark, library):
     texts = list(enumerate([*PREFIX_TEXTS, "", None]))
     for r in token_counts.truncate(docs_of(spark, texts), JSON, P.PATTERN, 5).collect():
