@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .common import materialise, sized, text_digest, text_of, whole_number
 
-#: Digests for one filter; the number of filters grows with the snapshot.
+#: Digests for one filter; the number of filters grows with the larger of snapshot and batch.
 FILTER_KEYS = 32_768
 
 FILTER = "bucket bigint, seed bigint, segment bigint, span bigint, table binary"
@@ -182,7 +182,8 @@ def duplicates(
     )
     rows = materialise(rows, "digests")
     snapshot = materialise(_groups(rows.where(~F.col("in_batch"))), "snapshot")
-    buckets = max(1, -(-snapshot.count() // filter_keys))
+    # No bucket of either side grows with the table, however the rows are dealt.
+    buckets = max(1, -(-max(snapshot.count(), rows.where("in_batch").count()) // filter_keys))
     batch = _groups(rows.where("in_batch"))
     screened = materialise(screen(batch, filters_of(snapshot, buckets), buckets), "screened")
 

@@ -327,3 +327,12 @@ def test_whole_sentences_of_a_passage_go(spark):
         want |= {i: [], 100 + i: list(range(2, 2 + len(sizes))) if sum(sizes) >= 16 else []}
     got = {r.doc_id: list(r.removed) for r in repeats.repeated_sentences(docs_of(spark, texts)).collect()}
     assert got == want
+
+
+def test_buckets_follow_the_batch(spark, monkeypatch):
+    """A large batch against an empty snapshot is screened in many groups."""
+    seen, screen = [], exact_dedup.screen
+    monkeypatch.setattr(exact_dedup, "screen", lambda batch, filters, buckets: seen.append(buckets) or screen(batch, filters, buckets))
+    texts = [(i, f"text {i % 250}") for i in range(300)]
+    assert plain(exact_dedup.duplicates(docs_of(spark, texts), F.lit(True), filter_keys=20).collect()) == groups_of(texts)
+    assert seen == [15]
