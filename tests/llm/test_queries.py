@@ -30,7 +30,7 @@ def test_sql(spark, con, name):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
 
 
 def test_near_duplicates_of_the_whole_table(spark):
