@@ -52,6 +52,49 @@ def test_network_learns(planted):
     assert [h[1] for h in again.history] == pytest.approx(losses[:3])
 
 
+def test_network_does_not_depend_on_the_layout(planted):
+    learn = planted.where("split <> 'test'").select("x", "is_val")
+    models = [network.train_network(learn.repartition(n), "x", "is_val", epochs=3) for n in (1, 8)]
+    assert (models[0].weights == models[1].weights).all()
+    assert models[0].history == models[1].history
+
+
+def test_row_gradients_add_up():
+    """A row's gradient is the same in any batch; sums beyond 64 bits are exact."""
+    sizes, rng = network.layer_sizes(7), np.random.default_rng(2)
+    w, x = network.start_weights(sizes, 1), rng.normal(size=(100, 7))
+    whole = network.row_gradients(w, x, sizes)
+    parts = [network.row_gradients(w, x[i : i + 7], sizes) for i in range(0, 100, 7)]
+    assert (np.concatenate([p[0] for p in parts]) == whole[0]).all()
+    assert (np.concatenate([p[1] for p in parts]) == whole[1]).all()
+    big = network._fixed_sum(np.full((network.CHUNK, 1), 1e300)) * 10**6
+    assert big[0] == int(network.LARGEST * network.UNIT) * network.CHUNK * 10**6
+
+
+def test_workers_need_no_package(tmp_path):
+    """What the network and the text operators send is loaded in a process without the package."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    sizes = network.layer_sizes(3)
+    path = tmp_path / "sent"
+    path.write_bytes(cloudpickle.dumps(network._step(network.start_weights(sizes, 0), sizes)))
+    code = f"""
+import pickle, pyarrow as pa
+run = pickle.load(open({str(path)!r}, "rb"))
+batch = pa.RecordBatch.from_arrays([pa.array([[1.0, 2.0, 3.0]]), pa.array([False])], names=["x", "v"])
+assert int(list(run(iter([batch])))[0].column(0)[0].as_py()[-3]) == 1
+try:
+    import tesela
+except ImportError:
+    print("alone")
+"""
+    ran = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={"PATH": ""}, capture_output=True, text=True)
+    assert ran.stdout.strip() == "alone", ran.stderr
+
+
 def test_pca_finds_planted_anomalies(planted):
     errors = scoring.add_errors(
         reconstruct_pca(planted.where("split = 'train'"), planted, "x", "y", 2), "x", "y"
