@@ -39,12 +39,12 @@ def _cols(names: list[str]) -> str:
 
 @query("clean_scores", with_(STUDENTS) + f"SELECT {_cols(STUDENT_COLUMNS)} FROM students")
 def clean_scores(spark, sf):
-    return cleaning.clean_students(roles.landed(spark, sf, "students"), scale=SCALE).select(*STUDENT_COLUMNS)
+    return cleaning.clean_students(roles.landed(spark, sf, "students"), outlier_error=None, scale=SCALE).select(*STUDENT_COLUMNS)
 
 
 @query("clean_access", with_(ACCESS) + f"SELECT {_cols(ACCESS_COLUMNS)} FROM access")
 def clean_access(spark, sf):
-    return cleaning.clean_access(roles.landed(spark, sf, "access")).select(*ACCESS_COLUMNS)
+    return cleaning.clean_access(roles.landed(spark, sf, "access"), outlier_error=None).select(*ACCESS_COLUMNS)
 
 
 @query("clean_coverage", with_(COVERAGE) + f"SELECT {_cols(COVERAGE_COLUMNS)} FROM coverage")
@@ -55,7 +55,7 @@ def clean_coverage(spark, sf):
 
 @query("muni_connectivity", with_(LEVELS) + f"SELECT {_cols(LEVEL_COLUMNS)} FROM levels")
 def muni_connectivity(spark, sf):
-    table = municipal.connectivity(roles.access(spark, sf), roles.coverage(spark, sf), scale=SCALE)
+    table = municipal.connectivity(roles.access(spark, sf), roles.coverage(spark, sf), error=None, scale=SCALE)
     return table.select(*LEVEL_COLUMNS)
 
 
@@ -86,7 +86,9 @@ def pipeline_end_to_end(spark, sf):
         roles.landed(spark, sf, "access"),
         roles.landed(spark, sf, "coverage"),
         fresh_path(spark, "clean"),
+        outlier_error=None,
         scale=SCALE,
+        columns=roles.COLUMNS,
     )
     checks = {
         "students": C.SCORE,
@@ -256,7 +258,7 @@ def q5_correlations(spark, sf):
     WHERE sedes_conectadas_a_internet IS NOT NULL AND cobertura_neta IS NOT NULL GROUP BY 1""",
 )
 def q6_median_split(spark, sf):
-    return questions.connected_sites(roles.coverage(spark, sf), digits=DIGITS, scale=SCALE)
+    return questions.connected_sites(roles.coverage(spark, sf), error=None, digits=DIGITS, scale=SCALE)
 
 
 @query(
@@ -458,6 +460,7 @@ def features(spark, sf):
         roles.levels(spark, sf),
         roles.students(spark, sf),
         roles.access(spark, sf),
+        error=None,
         digits=DIGITS,
         scale=SCALE,
     )

@@ -11,12 +11,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans import contract as C
 from ..plans.pipeline import run_pipeline
 from ..session import fresh_path, materialise
 from ..sources.files import read_table
 
 SCALE = 2
 
+# The roles' raw columns; line items keep their keys.
+COLUMNS = {**C.RAW_COLUMNS, "access": ["l_orderkey", "l_linenumber", *C.RAW_COLUMNS["access"]]}
+
 
 def cents(c: str) -> Column:
     return F.round(F.col(c) * 100).cast("long")
@@ -248,7 +252,7 @@ def clean_layer(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     key = (spark.sparkContext.applicationId, sf)
     if key not in _LAYERS:
         raw = [landed(spark, sf, name) for name in _BUILDERS]
-        _LAYERS[key] = run_pipeline(*raw, fresh_path(spark, "clean"), scale=SCALE)
+        _LAYERS[key] = run_pipeline(*raw, fresh_path(spark, "clean"), outlier_error=None, scale=SCALE, columns=COLUMNS)
     return _LAYERS[key]
 
 

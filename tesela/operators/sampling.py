@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 HASH_BITS = 32
@@ -23,21 +22,41 @@ def md5_number(key: str, seed: str = "") -> Column:
     return F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
-def sample_rows(df: DataFrame, n: int, key: str, number: Column | None = None) -> DataFrame:
-    """`n` rows in hash order (ties by key); fewer only if the table has fewer.
+def _cut(counts: DataFrame, n: int) -> tuple[int | None, int]:
+    """The first digit at which the counts (digit, c) reach n, and what the digits before hold."""
+    before = 0
+    for digit, c in sorted(tuple(r) for r in counts.where("p is not null").collect()):  # 65,536 rows at most
+        if before + c >= n:
+            return digit, before
+        before += c
+    return None, before
 
-    A count per hash prefix (at most 65,536 rows) finds the prefix below which there are just
-    enough rows.  The scan then drops the rest before the top-n cut, so a task ships its share
-    of the sample and not n rows.
+
+def sample_rows(df: DataFrame, n: int, key: str | None = None, number: Column | None = None) -> DataFrame:
+    """`n` rows in hash order (ties by key, without a key by all columns); fewer only if the
+    table has fewer.
+
+    The hash at which there are just enough rows is found digit by digit: a count of the first 16
+    bits, then of the other bits of the rows at the cut.  The sample is then a filter on the
+    hash, whatever n is; only rows of the very hash at the cut are ordered by key.
     """
-    number = hash_number(key) if number is None else number
-    prefix = F.shiftright(number, HASH_BITS - PREFIX_BITS)
-    counts = df.groupBy(prefix.alias("p")).agg(F.count("*").alias("c"))
-    order = W.partitionBy(F.lit(0)).orderBy("p")
-    reached = counts.withColumn("upto", F.sum("c").over(order)).where(F.col("upto") >= n)
-    cut = reached.agg(F.min("p")).scalar()
-    kept = df.where(prefix <= F.coalesce(cut, F.lit(1 << PREFIX_BITS)))
-    return kept.orderBy(number, F.col(key)).limit(n)
+    if number is None:
+        number = hash_number(key) if key else F.shiftrightunsigned(F.xxhash64(F.lit(42), *map(_quoted, df.columns)), 64 - HASH_BITS)
+    order = F.col(key) if key else F.struct(*map(_quoted, df.columns))
+    low_bits = HASH_BITS - PREFIX_BITS
+    prefix = F.shiftright(number, low_bits)
+    first, before = _cut(df.groupBy(prefix.alias("p")).agg(F.count("*").alias("c")), n)
+    if first is None:
+        return df
+    rest = number.bitwiseAND(F.lit((1 << low_bits) - 1))
+    second, inside = _cut(df.where(prefix == first).groupBy(rest.alias("p")).agg(F.count("*").alias("c")), n - before)
+    cut = (first << low_bits) + second
+    ties = df.where(number == cut).orderBy(order).limit(n - before - inside)
+    return df.where(number < cut).unionByName(ties)
+
+
+def _quoted(column: str) -> Column:
+    return F.col(f"`{column}`")
 
 
 def sample_share(

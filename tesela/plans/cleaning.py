@@ -1,10 +1,10 @@
 """Cleaning of the three raw tables.  Every raw column is text.
 
 The order of the steps is part of the result: a mean is taken after the filters, an outlier
-fence before the segment filter.  Nothing is written on the way: the passes for quartiles and
-means scan only the columns that the filters and the statistic need, which is less than writing
-and reading a typed copy of all.  A statistic comes to the driver as one or two numbers, so the
-plan of the result is one scan with filters.
+fence before the segment filter.  Every text column is parsed once: the typed rows that pass the
+plain filters are written, and the passes for quartiles and means read one numeric column of
+that table.  A statistic comes to the driver as one or two numbers, so the result is one scan of
+the typed table whose fence is pushed into the scan.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from ..operators.filters import (
     keep_status,
 )
 from ..operators.impute import impute_mean
+from ..session import materialise
 from . import contract as C
 
 
@@ -34,7 +35,7 @@ def clean_students(
     df: DataFrame,
     status: str = C.PUBLISHED,
     score_range: tuple[float, float] = (0, 500),
-    outlier_error: float | None = None,
+    outlier_error: float | None = C.RANK_ERROR,
     scale: int | None = None,
 ) -> DataFrame:
     """Published, free, located students with a plausible score; English filled by its mean."""
@@ -51,17 +52,16 @@ def clean_students(
     out = keep_known(out, C.KEY)
     if C.SCORE in df.columns:
         out = in_range_or_null(out, C.SCORE, *score_range)
-    if C.SCORE in df.columns:
-        out = iqr_filter(out, C.SCORE, error=outlier_error)
     if "fami_tieneinternet" in df.columns:
         out = out.withColumn(C.HOUSEHOLD_FLAG, yes_no_flag("fami_tieneinternet"))
+    out = iqr_filter(materialise(out, "typed"), C.SCORE, error=outlier_error)
     return impute_mean(out, "punt_ingles", scale)
 
 
 def clean_access(
     df: DataFrame,
     segment_words: tuple[str, ...] = (C.RESIDENTIAL,),
-    outlier_error: float | None = None,
+    outlier_error: float | None = C.RANK_ERROR,
 ) -> DataFrame:
     """Non-negative access counts without outliers, residential segment, speed class."""
     out = parse_columns(df, C.ACCESS_NUMBERS).withColumns(
@@ -70,8 +70,7 @@ def clean_access(
     out = keep_known(out, C.KEY)
     if "no_de_accesos" in df.columns:
         out = in_range_or_null(out, "no_de_accesos", low=0)
-    if "no_de_accesos" in df.columns:
-        out = iqr_filter(out, "no_de_accesos", error=outlier_error)
+    out = iqr_filter(materialise(out, "typed"), "no_de_accesos", error=outlier_error)
     if "segmento" in df.columns:
         out = contains_or_null(out, "segmento", *segment_words)
     if "velocidad_bajada" in df.columns:
@@ -84,4 +83,4 @@ def clean_coverage(df: DataFrame, scale: int | None = None) -> DataFrame:
     out = parse_columns(df, C.COVERAGE_NUMBERS).withColumns(
         {C.KEY: _code(df, "c_digo_municipio"), C.YEAR: year_or_null(column_or(df, "a_o", "string"))}
     )
-    return impute_mean(keep_known(out, C.KEY), "cobertura_neta", scale)
+    return impute_mean(materialise(keep_known(out, C.KEY), "typed"), "cobertura_neta", scale)

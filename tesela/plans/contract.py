@@ -37,6 +37,47 @@ COVERAGE_NUMBERS = [
     "tama_o_promedio_de_grupo",
 ]
 
+# Raw columns that the cleaning and the analyses read.
+RAW_COLUMNS = {
+    "students": [
+        "periodo",
+        "estu_consecutivo",
+        "estu_estadoinvestigacion",
+        "estu_privado_libertad",
+        "estu_genero",
+        "cole_cod_mcpio_ubicacion",
+        "cole_naturaleza",
+        "cole_area_ubicacion",
+        "cole_jornada",
+        "cole_bilingue",
+        "cole_calendario",
+        "fami_estratovivienda",
+        "fami_educacionmadre",
+        "fami_educacionpadre",
+        "fami_tieneinternet",
+        "fami_tienecomputador",
+        "fami_tieneautomovil",
+        "fami_personashogar",
+        "fami_cuartoshogar",
+        *SCORES,
+    ],
+    "access": [
+        "anno",
+        "trimestre",
+        "cod_municipio",
+        "municipio",
+        "departamento",
+        "proveedor",
+        "tecnologia",
+        "segmento",
+        *ACCESS_NUMBERS,
+    ],
+    "coverage": ["a_o", "c_digo_municipio", "municipio", "departamento", *COVERAGE_NUMBERS],
+}
+
+# Rank error of the quantiles behind fences, levels and fill values.
+RANK_ERROR = 0.01
+
 # Inputs of the anomaly model.
 ANOMALY_FEATURES = [
     "accesos_por_habitante",

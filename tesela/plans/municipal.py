@@ -16,7 +16,7 @@ from . import contract as C
 
 
 def connectivity(
-    access: DataFrame, coverage: DataFrame, error: float | None = None, scale: int | None = None
+    access: DataFrame, coverage: DataFrame, error: float | None = C.RANK_ERROR, scale: int | None = None
 ) -> DataFrame:
     """Accesses per inhabitant for every municipality and year, with its tercile level.
 
@@ -37,7 +37,7 @@ def connectivity(
     return add_level(joined, C.RATIO, C.LEVEL, error)
 
 
-def add_level(df: DataFrame, column: str, out: str, error: float | None = None) -> DataFrame:
+def add_level(df: DataFrame, column: str, out: str, error: float | None = C.RANK_ERROR) -> DataFrame:
     """Class by the 33rd and 66th percentile of a column."""
     low, high = column_quantiles(df, column, [0.33, 0.66], error) or (None, None)
     return df.withColumn(out, by_cuts(column, low, high))
@@ -118,7 +118,7 @@ def anomaly_features(
     levels: DataFrame,
     students: DataFrame,
     access: DataFrame,
-    error: float | None = None,
+    error: float | None = C.RANK_ERROR,
     digits: int | None = 2,
     scale: int | None = None,
 ) -> DataFrame:

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..operators.columns import select_present
+from ..operators.sampling import sample_rows
 from ..sources.files import write_parquet
+from . import contract as C
 from .cleaning import clean_access, clean_coverage, clean_students
 from .municipal import connectivity
 
@@ -15,22 +17,24 @@ def run_pipeline(
     access: DataFrame,
     coverage: DataFrame,
     folder: str,
-    outlier_error: float | None = None,
+    outlier_error: float | None = C.RANK_ERROR,
     scale: int | None = None,
-    columns: dict[str, list[str]] | None = None,
+    columns: dict[str, list[str]] = C.RAW_COLUMNS,
     rows: int | None = None,
 ) -> dict[str, DataFrame]:
     """Clean, write and return the tables as read back from `folder`.
 
-    `columns` names the raw columns to keep of a table, of which the present ones are read;
-    `rows` limits the raw rows of each table, for development.  Each table is written once; the
+    `columns` names the raw columns to keep of a table, of which the present ones are read (a
+    table that it does not name keeps all); `rows` limits the raw rows of each table, for
+    development: those with the smallest hashes, the same ones on any layout.  `outlier_error`
+    is the rank error of fences and levels, None for exact ones.  Each table is written once; the
     connectivity table is computed from the written files, so no cleaning step runs twice."""
     spark = students.sparkSession
     raw = {"students": students, "access": access, "coverage": coverage}
-    for name, wanted in (columns or {}).items():
+    for name, wanted in columns.items():
         raw[name] = select_present(raw[name], wanted)
     if rows is not None:
-        raw = {name: table.limit(rows) for name, table in raw.items()}
+        raw = {name: sample_rows(table, rows) for name, table in raw.items()}
     cleaned = {
         "students": clean_students(raw["students"], outlier_error=outlier_error, scale=scale),
         "access": clean_access(raw["access"], outlier_error=outlier_error),
@@ -40,7 +44,7 @@ def run_pipeline(
     for name, table in cleaned.items():
         path = write_parquet(table, f"{folder}/{name}")
         out[name] = spark.read.schema(table.schema).parquet(path)
-    levels = connectivity(out["access"], out["coverage"], scale=scale)
+    levels = connectivity(out["access"], out["coverage"], error=outlier_error, scale=scale)
     path = write_parquet(levels, f"{folder}/levels")
     out["levels"] = spark.read.schema(levels.schema).parquet(path)
     return out

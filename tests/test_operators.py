@@ -246,3 +246,99 @@ def test_ingest_counts_every_batch(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
     assert got == {"new_rows": 220, "batches": 11}
+
+
+def test_sample_is_exact_and_a_filter(spark):
+    """Any n, with equal hashes and rows, without a task that sorts the sample."""
+    df = spark.range(5000).select((F.col("id") % 1700).alias("id"), (F.col("id") % 3).alias("x"))
+    for n in (0, 1, 2500, 4999, 5000, 6000):
+        a = sampling.sample_rows(df, n)
+        assert a.count() == min(n, 5000)
+        assert sorted(a.collect()) == sorted(sampling.sample_rows(df.repartition(7), n).collect())
+    few = sampling.sample_rows(df, 1000, number=F.col("id") % 10)
+    assert few.where("id % 10 < 2").count() == few.count() == 1000
+    half = sampling.sample_rows(spark.range(4000).withColumnRenamed("id", "a.b"), 2000)
+    assert half.columns == ["a.b"] and half.count() == 2000
+    plan = sampling.sample_rows(spark.range(4000), 2000, "id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("TakeOrderedAndProject") == 1 and "limit=1," in plan.replace(" ", "")
+
+
+def hard_values(spark):
+    rng = np.random.default_rng(4)
+    v = np.round(rng.normal(size=30_000), 3)
+    v[::3] = 0.25  # a third of all rows
+    rows = [(["a", "b", None][i % 3] if i < 20_000 else "big", float(x), None if i % 2 else float(i % 7)) for i, x in enumerate(v)]
+    rows += [("none", None, None), ("nan", float("nan"), 1.0), ("one", 3.0, 2.0)]
+    return rows, spark.createDataFrame(rows, "grp string, v double, w double")
+
+
+@pytest.mark.parametrize("narrow", [None, 1e-7])
+@pytest.mark.parametrize("by", [[], ["grp"]])
+def test_quantiles_by_narrowing(spark, narrow, by, monkeypatch):
+    """Exact also where the intervals miss the ranks, which too small a margin makes them do."""
+    rows, df = hard_values(spark)
+    if narrow:
+        monkeypatch.setattr(quantiles, "MARGIN", narrow)
+        monkeypatch.setattr(quantiles, "FEW", 0)
+    probs = [0.0, 0.1, 0.5, 0.75, 1.0]
+    pdf = pd.DataFrame(rows, columns=["grp", "v", "w"])
+    pdf["all"] = 0
+    got = {(r[0] if by else 0, r["column"]): (r["n"], r["q"]) for r in quantiles.quantiles(df.repartition(4), ["v", "w"], probs, by).collect()}
+    want = {}
+    for c in ("v", "w"):
+        for g, part in pdf.groupby(by[0] if by else "all", dropna=False)[c]:
+            if part.notna().any():
+                want[None if pd.isna(g) else g, c] = (part.notna().sum(), part.quantile(probs).tolist())
+    assert got.keys() == want.keys()
+    for k in want:
+        assert got[k][0] == want[k][0] and got[k][1] == pytest.approx(want[k][1]), k
+
+
+def test_narrowing_shuffles_few_values(spark, monkeypatch):
+    seen = {}
+    keep = quantiles.cumulative_counts
+    monkeypatch.setattr(quantiles, "cumulative_counts", lambda pairs, *a, **k: (seen.update(n=pairs.count()), keep(pairs, *a, **k))[1])
+    df = spark.range(200_000).select(F.rand(3).alias("v"))
+    quantiles.exact_quantiles(df, ["v"], [0.5]).collect()
+    assert 0 < seen["n"] < 200_000 * 0.02
+
+
+def test_sketches_are_stored_and_merged(spark):
+    rows, df = hard_values(spark)
+    stored = quantiles.quantile_sketches(df, ["v", "w"], ["grp"], error=0.01)
+    merged = {r["column"]: r for r in quantiles.sketch_quantiles(quantiles.merge_sketches(stored), [0.25, 0.5, 0.9]).collect()}
+    v = np.array([r[1] for r in rows if r[1] is not None and not np.isnan(r[1])])
+    assert merged["v"]["n"] == len(v)
+    for p, q in zip([0.25, 0.5, 0.9], merged["v"]["q"]):
+        assert (v < q).mean() - 0.02 <= p <= (v <= q).mean() + 0.02
+    by_group = {r["grp"] for r in quantiles.sketch_quantiles(stored, [0.5]).where("column = 'v'").collect()}
+    assert by_group == {"a", "b", None, "big", "one"}
+
+
+def test_cleaning_parses_each_text_column_once(spark):
+    """The result reads the typed table, with the fence pushed into its scan."""
+    from tesela.plans.cleaning import clean_access
+
+    rows = [("05001", "2021", str(i), "6,00", "1", "Residencial") for i in range(100)] + [("05001", "2021", "1.174.274", "6,00", "1", None)]
+    raw = spark.createDataFrame(rows, "cod_municipio string, anno string, no_de_accesos string, velocidad_bajada string, velocidad_subida string, segmento string")
+    for error in (None, 0.01):
+        out = clean_access(raw, outlier_error=error)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "regexp" not in plan and "PushedFilters" in plan and "GreaterThanOrEqual(no_de_accesos" in plan
+        assert out.count() == 100
+
+
+def test_pipeline_prunes_and_repeats_its_sample(spark, tmp_path):
+    from tesela.plans import contract as C
+    from tesela.plans.pipeline import run_pipeline
+
+    students = spark.createDataFrame([("20231", "PUBLICAR", "5001", str(i), str(i), "x") for i in range(200)], "periodo string, estu_estadoinvestigacion string, cole_cod_mcpio_ubicacion string, punt_global string, punt_ingles string, extra string")
+    access = spark.createDataFrame([("5001", "2023", str(i)) for i in range(50)], "cod_municipio string, anno string, no_de_accesos string")
+    coverage = spark.createDataFrame([("5001", "2023", "100", "90", "m", "d")], "c_digo_municipio string, a_o string, poblaci_n_5_16 string, cobertura_neta string, municipio string, departamento string")
+    kept = []
+    for n in (1, 5):
+        out = run_pipeline(students.repartition(n), access, coverage, str(tmp_path / str(n)), rows=40)
+        assert "extra" not in out["students"].columns and out["students"].count() <= 40
+        kept.append(sorted(r[C.SCORE] for r in out["students"].collect()))
+    assert kept[0] == kept[1]
+    assert "extra" in run_pipeline(students, access, coverage, str(tmp_path / "all"), columns={})["students"].columns
