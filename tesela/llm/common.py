@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tesela.session import fresh_path, materialise
 
-__all__ = ["drop_folder", "fresh_path", "materialise", "read_table", "sized", "text_digest", "text_of", "whole_number"]
+__all__ = ["drop_folder", "fresh_name", "fresh_path", "materialise", "read_table", "sized", "text_digest", "text_of", "whole_number"]
 
 #: Up to so many rows of a few short columns are broadcast; more are joined by shuffling.
 BROADCAST_ROWS = 500_000
@@ -42,6 +43,11 @@ def text_digest(column: str = "text") -> Column:
     return F.sha2(text_of(column), 256)
 
 
+def fresh_name(label: str) -> str:
+    """A column name that no table of a caller has."""
+    return f"_{label}_{uuid.uuid4().hex}"
+
+
 def sized(table: DataFrame, rows: int | None = None) -> DataFrame:
     """A written table of short rows, to be broadcast if it has at most `rows` of them."""
     return F.broadcast(table) if table.count() <= (BROADCAST_ROWS if rows is None else rows) else table

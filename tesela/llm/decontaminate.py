@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, sized, text_digest, text_of, whole_number
+from .common import fresh_name, materialise, sized, text_digest, text_of, whole_number
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A word: anything but ASCII control, blank and punctuation characters (after lower-casing).
@@ -126,11 +126,12 @@ def report(scanned: DataFrame) -> DataFrame:
     )
 
 
-def _hit_texts(docs: DataFrame, benchmark: DataFrame, n: int) -> DataFrame:
-    """One row for each key and text that is hit: _key and _hits."""
+def _hit_texts(docs: DataFrame, benchmark: DataFrame, n: int, names: tuple[str, str]) -> DataFrame:
+    """One row for each key and text that is hit: the key and the hits, under these names."""
     hit = scan(docs, benchmark, n, digest=True).where(F.size("hits") > 0)
-    key = F.struct("doc_id", "text_key")
-    return materialise(hit.groupBy(key.alias("_key")).agg(F.first("hits").alias("_hits")), "hit-texts")
+    key, hits = names
+    rows = hit.groupBy(F.struct("doc_id", "text_key").alias(key)).agg(F.first("hits").alias(hits))
+    return materialise(rows, "hit-texts")
 
 
 def _row_key() -> Column:
@@ -139,22 +140,24 @@ def _row_key() -> Column:
 
 def drop_documents(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
     """The rows of `docs`, with all columns, whose texts hold no window of the benchmark."""
-    hit = sized(_hit_texts(docs, benchmark, n).select("_key"))
-    return docs.join(hit, _row_key() == F.col("_key"), "left_anti")
+    key, hits = fresh_name("key"), fresh_name("hits")
+    hit = sized(_hit_texts(docs, benchmark, n, (key, hits)).select(key))
+    return docs.join(hit, _row_key() == F.col(key), "left_anti")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
     """All rows and columns of `docs`, with `text` freed of the words that are hit and of the
     characters between them and the next word.  Other texts stay as they are."""
-    joined = docs.join(_hit_texts(docs, benchmark, n), _row_key() == F.col("_key"), "left")
+    key, hits = fresh_name("key"), fresh_name("hits")
+    joined = docs.join(_hit_texts(docs, benchmark, n, (key, hits)), _row_key() == F.col(key), "left")
     words = F.regexp_extract_all(F.col("text"), F.lit(WORD_AS_WRITTEN), F.lit(0))
     gaps = F.split(F.col("text"), WORD_AS_WRITTEN, -1)
-    runs = merged("_hits")
+    runs = merged(hits)
     rest = F.transform(
         words,
         lambda w, i: F.when(F.exists(runs, lambda r: (r["start"] <= i) & (i < r["stop"])), F.lit("")).otherwise(
             F.concat(w, F.element_at(gaps, i + 2))
         ),
     )
-    cleaned = F.when(F.col("_key").isNull(), F.col("text")).otherwise(F.concat(gaps[0], F.array_join(rest, "")))
+    cleaned = F.when(F.col(key).isNull(), F.col("text")).otherwise(F.concat(gaps[0], F.array_join(rest, "")))
     return joined.withColumn("text", cleaned).select(*(F.col(f"`{c}`") for c in docs.columns))

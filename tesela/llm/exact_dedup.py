@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, sized, text_digest, text_of, whole_number
+from .common import fresh_name, materialise, sized, text_digest, text_of, whole_number
 
 #: Digests for one filter; the number of filters grows with the larger of snapshot and batch.
 FILTER_KEYS = 32_768
@@ -239,13 +239,13 @@ def drop_duplicates(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame, judged: DataFrame) -> DataFrame:
     """The rows of `docs` without those that `judged` (_key, kept) drops; its keys are structs of
     doc_id and text_sha256.  A key stays if one of its rows is kept, and then with one row."""
-    key = F.struct(whole_number().alias("doc_id"), text_digest().alias("text_sha256"))
-    found = judged.groupBy("_key").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
+    key, name = F.struct(whole_number().alias("doc_id"), text_digest().alias("text_sha256")), fresh_name("key")
+    found = judged.withColumnRenamed("_key", name).groupBy(name).agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
     found = materialise(found.where("not kept or n > 1"), "dropped")
-    left = docs.join(sized(materialise(found.where("not kept").select("_key"), "gone")), key == F.col("_key"), "left_anti")
-    repeats = materialise(found.where("kept").select("_key"), "repeats")
+    left = docs.join(sized(materialise(found.where("not kept").select(name), "gone")), key == F.col(name), "left_anti")
+    repeats = materialise(found.where("kept").select(name), "repeats")
     if repeats.isEmpty():
         return left
-    single = left.join(sized(repeats), key == F.col("_key"), "left_anti")
-    one = left.join(sized(repeats), key == F.col("_key"), "left_semi").withColumn("_key", key).dropDuplicates(["_key"]).drop("_key")
+    single = left.join(sized(repeats), key == F.col(name), "left_anti")
+    one = left.join(sized(repeats), key == F.col(name), "left_semi").withColumn(name, key).dropDuplicates([name]).drop(name)
     return single.unionByName(one)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .common import materialise, sized, text_of, whole_number
+from .common import fresh_name, materialise, sized, text_of, whole_number
 
 MIN_WORDS = 16
 #: A sentence and what divides it from the next one.
@@ -102,9 +102,9 @@ def _covered(spans_column: str):
     return F.array_sort(F.array_distinct(F.flatten(F.transform(spans_column, lambda s: F.sequence(s["start"], s["start"] + s["length"] - 1)))))
 
 
-def _removed(numbered: DataFrame, min_words: int, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(row, doc_id, n_sentences, removed) for every row of `numbered`, docs with a number `_row`."""
-    source = numbered.select("_row", whole_number(key).alias("doc_id"), F.xxhash64(text_of(text)), text_of(text))
+def _removed(numbered: DataFrame, row: str, min_words: int, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(row, doc_id, n_sentences, removed) for every row of `numbered`, docs with a number `row`."""
+    source = numbered.select(row, whole_number(key).alias("doc_id"), F.xxhash64(text_of(text)), text_of(text))
     table = materialise(source.mapInArrow(_cut(min_words), SPANS), "spans")
     hashed = table.where("h1 is not null").select("row", "h1", "h2", "start", "length", "again")
     texts = table.where("h1 is null").select("row", "doc_id", "tie", F.col("length").alias("n_sentences"))
@@ -133,18 +133,19 @@ def repeated_sentences(docs: DataFrame, min_words: int = MIN_WORDS, text: str =
     row is a text of its own.  Null, empty and short texts have no spans.  Other columns are not
     read.
     """
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    return _removed(numbered, min_words, text, key).drop("row")
+    row = fresh_name("row")
+    return _removed(docs.withColumn(row, F.monotonically_increasing_id()), row, min_words, text, key).drop("row")
 
 
 def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, count: str | None = None) -> DataFrame:
     """All rows and columns of `docs`, with `text` freed of its repeated sentences.  With `count`,
     a column of that name tells how many were removed.  Null texts stay null.  The rows are
     written once, so that their numbers hold."""
-    numbered = materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    gone = _removed(numbered, min_words).where(F.size("removed") > 0)
-    gone = materialise(gone.select(F.col("row").alias("_id"), F.col("removed").alias("_removed")), "removed-by-text")
-    if (gone.agg(F.sum(F.size("_removed"))).first()[0] or 0) <= BROADCAST_SENTENCES:
+    row, same, removed = fresh_name("row"), fresh_name("same"), fresh_name("removed")
+    numbered = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    gone = _removed(numbered, row, min_words).where(F.size("removed") > 0)
+    gone = materialise(gone.select(F.col("row").alias(same), F.col("removed").alias(removed)), "removed-by-text")
+    if (gone.agg(F.sum(F.size(removed))).first()[0] or 0) <= BROADCAST_SENTENCES:
         gone = sized(gone)
 
     @arrow_udf("string")
@@ -157,7 +158,7 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, count: str | Non
             out.append(text)
         return pa.array(out, pa.string())
 
-    joined = numbered.join(gone, F.col("_row") == F.col("_id"), "left")
-    counted = [F.coalesce(F.size("_removed"), F.lit(0)).cast("long").alias(count)] if count else []
-    cleaned = joined.withColumn("text", without("text", "_removed"))
+    joined = numbered.join(gone, F.col(row) == F.col(same), "left")
+    counted = [F.coalesce(F.size(removed), F.lit(0)).cast("long").alias(count)] if count else []
+    cleaned = joined.withColumn("text", without("text", removed))
     return cleaned.select(*(F.col(f"`{c}`") for c in docs.columns), *counted)

@@ -16,7 +16,6 @@ So every such pair shares a key, and pairs that share one by chance are rare: 32
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
@@ -24,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, sized, text_of, whole_number
+from .common import fresh_name, materialise, sized, text_of, whole_number
 from .components import components
 
 #: The generator polynomial of the cyclic (23, 12) Golay code.
@@ -75,7 +74,6 @@ def fingerprints(docs: DataFrame, width: int = 4, text: str = "text", key: str =
     return docs.select(whole_number(key).alias("doc_id"), text_of(text)).mapInArrow(run, "doc_id bigint, print bigint")
 
 
-@lru_cache(maxsize=1)
 def golay_tables() -> tuple[np.ndarray, np.ndarray]:
     """The remainders of the upper twelve bits, and for each of the 2,048 remainders the error
     patterns of up to four bits that leave it, filled up with -1."""
@@ -96,9 +94,12 @@ def golay_tables() -> tuple[np.ndarray, np.ndarray]:
     return rest, np.array([e + [-1] * (most - len(e)) for e in errors], np.int64)
 
 
+GOLAY = golay_tables()
+
+
 def codewords(words: np.ndarray) -> np.ndarray:
     """For each 23-bit word the indices of the codewords within four bits, filled up with -1."""
-    rest, errors = golay_tables()
+    rest, errors = GOLAY
     e = errors[rest[words >> 11] ^ (words & 2047)]
     return np.where(e < 0, -1, (words[:, None] ^ e) >> 11)
 
@@ -187,5 +188,6 @@ def near_duplicates(docs: DataFrame, width: int = 4, most: int = 4, text: str =
 def keep_first(docs: DataFrame, width: int = 4, most: int = 4) -> DataFrame:
     """The rows of `docs`, all columns, with the smallest id of their component.  Rows with null
     ids stay: there is no telling which of them is the first."""
-    rest = near_duplicates(docs, width, most).where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(sized(materialise(rest, "gone")), whole_number() == F.col("_gone"), "left_anti")
+    gone = fresh_name("gone")
+    rest = near_duplicates(docs, width, most).where("doc_id != component_id").select(F.col("doc_id").alias(gone)).distinct()
+    return docs.join(sized(materialise(rest, "gone")), whole_number() == F.col(gone), "left_anti")

@@ -3,10 +3,11 @@ from __future__ import annotations
 import pytest
 
 #: Columns that the operators also use inside, to see that they do not clash.
-CLASHING = dict(digest="x", row=7, key="k", words="w", hits=0, score=0.5, bucket=3, block="b", start=1, gram="g", print=9, label=1, hash=5, n=2)
+CLASHING = dict(digest="x", row=7, key="k", words="w", hits=0, score=0.5, bucket=3, block="b", start=1, gram="g", print=9, label=1, hash=5, n=2, _row=100, _id=1, _removed="r", _key="y", _hits=6, _gone=8)
 SCHEMA = (
     "doc_id bigint, text string, lang string, source string, n_chars bigint, digest string, row int, key string, words string, "
-    "hits int, score double, bucket int, block string, start int, gram string, print int, label int, hash int, n int"
+    "hits int, score double, bucket int, block string, start int, gram string, print int, label int, hash int, n int, "
+    "_row int, _id int, _removed string, _key string, _hits int, _gone int"
 )
 
 
