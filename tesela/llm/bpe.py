@@ -222,17 +222,17 @@ def _dictionaries(pattern: str, buckets: int):
 def _encode_words(ranks):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Merger(ranks.value).encode
-        known: dict[bytes, list[int]] = {}  # the distinct words of this partition
+        known: dict[bytes, bytes] = {}  # the distinct words of this partition, ids in four bytes
         for batch in batches:
             for row in range(batch.num_rows):
                 found = []
                 for word in _unpack_words(batch.column("words")[row].as_py()):
                     ids = known.get(word)
                     if ids is None:
-                        known[word] = ids = encode(word)
+                        known[word] = ids = np.array(encode(word), np.uint32).tobytes()
                     found.append(ids)
-                counts = np.fromiter(map(len, found), np.uint32, len(found))
-                flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(counts.sum()))
+                counts = np.fromiter(map(len, found), np.uint32, len(found)) // np.uint32(4)
+                flat = np.frombuffer(b"".join(found), np.uint32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("block").slice(row, 1),
