@@ -1,15 +1,20 @@
 """Repeated passages by sliding sentence spans.
 
-For each sentence, the shortest runs of consecutive sentences of at least 16 words that start with
-it and that end with it are spans, so spans cover every run of at least 16 words.  A span is hashed
-to 128 bits.  Spans are joined globally by their hashes, and the sentences
-under any span that came before, in a text of smaller id or earlier in the text, are removed.
-Spans and removals belong to rows, so ids may be null or repeated.
+Every run of three consecutive sentences is a span.  So that passages of fewer, longer sentences
+are found too, a run of one or two sentences is a span if it has at least 16 words, and fewer
+without its first or without its last sentence.  Longer runs need no spans: where one is repeated, the runs of three in it
+are.  Sentences without words are passed over.
+
+A span is hashed to 128 bits.  Spans are joined globally by their hashes, and the sentences under
+any span that came before, in a text of smaller id or earlier in the text, are removed.  Spans and
+removals belong to rows, so ids may be null or repeated.  A text of any length is cut in time and
+memory that grow with it; spans leave the tasks in slices.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +25,11 @@ from pyspark.sql.functions import arrow_udf
 
 from .common import fresh_name, materialise, sized, text_of, whole_number
 
+#: Sentences of a run, and words of a run of fewer sentences (0: there are no such runs).
+RUN = 3
 MIN_WORDS = 16
+#: Spans that a task holds before it hands them on.
+SLICE = 20_000
 #: A sentence and what divides it from the next one.
 SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?]+|\n|$)[\s]*")
 
@@ -35,66 +44,64 @@ def sentences(text: str) -> list[str]:
     return [s for s in SENTENCE.findall(text) if s]
 
 
-def spans(text: str, min_words: int = MIN_WORDS) -> tuple[list[tuple[int, int, bytes]], int]:
-    """(start, length, digest) of every span, and the number of sentences."""
+def spans(text: str, min_words: int = MIN_WORDS, run: int = RUN) -> tuple[list[tuple[int, int, bytes]], int]:
+    """(start, length, digest) of every span, by start and length, and the number of sentences."""
     import xxhash
 
-    pieces = sentences(text)
-    words = [s.split() for s in pieces]
-    sizes = [len(w) for w in words]
-    norm = [" ".join(w).encode() for w in words]
-    runs, stop, total = set(), 0, 0
-    for start, size in enumerate(sizes):
-        while total < min_words and stop < len(sizes):
-            total += sizes[stop]
-            stop += 1
-        if total < min_words:
-            break
-        if size:  # an empty piece starts no span of its own, and ends none
-            runs.add((start, stop - start))
-        total -= size
-    start, total = 0, 0
-    for last, size in enumerate(sizes):
-        total += size
-        while start < last and total - sizes[start] >= min_words:
-            total -= sizes[start]
-            start += 1
-        if size and total >= min_words:
-            runs.add((start, last - start + 1))
-    return [(start, length, xxhash.xxh3_128_digest(b"\n".join(norm[start : start + length]))) for start, length in sorted(runs)], len(pieces)
-
-
-def _cut(min_words: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["row", "doc_id", "tie", "h1", "h2", "start", "length", "again"]
+    words = [s.split() for s in sentences(text)]
+    at = [i for i, w in enumerate(words) if w]
+    norm = [" ".join(words[i]).encode() for i in at]
+    out = []
+    for a, first in enumerate(at):
+        lengths, total = [], 0
+        for n in range(1, min(run, len(at) - a + 1) if min_words else 1):
+            last = len(words[at[a + n - 1]])
+            total += last
+            if total >= min_words and min(total - len(words[first]), total - last) < min_words:
+                lengths.append(n)
+        if a + run <= len(at):
+            lengths.append(run)
+        out += [(first, at[a + n - 1] - first + 1, xxhash.xxh3_128_digest(b"\n".join(norm[a : a + n]))) for n in lengths]
+    return out, len(words)
+
+
+def _cut(min_words: int, run: int):
+    names = ["row", "doc_id", "tie", "h1", "h2", "start", "length", "again"]
+
+    def found_spans(owners, digests, starts, lengths, again):
+        n, halves = len(owners), np.frombuffer(bytes(digests), np.int64).reshape(-1, 2)
+        none = pa.nulls(n, pa.int64())
+        columns = [pa.array(np.array(owners)), none, none, pa.array(halves[:, 0]), pa.array(halves[:, 1])]
+        columns += [pa.array(np.array(starts, np.int32)), pa.array(np.array(lengths, np.int32)), pa.array(np.array(again, bool))]
+        return pa.RecordBatch.from_arrays(columns, names=names)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = owners, digests, starts, lengths, again = array("q"), bytearray(), array("i"), array("i"), array("b")
         for batch in batches:
-            owners, digests, starts, lengths, again, sizes = [], [], [], [], [], []
-            for row, text in zip(batch.column(0).to_pylist(), batch.column(3)):
-                found, n = spans(text.as_py(), min_words)
+            sizes = array("i")
+            for row, text in zip(batch.column(0), batch.column(3)):
+                row, (found, n) = row.as_py(), spans(text.as_py(), min_words, run)
                 seen = set()
                 for start, length, digest in found:
                     owners.append(row)
-                    digests.append(digest)
+                    digests += digest
                     starts.append(start)
                     lengths.append(length)
                     again.append(digest in seen)
                     seen.add(digest)
                 sizes.append(n)
-            halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-            if len(owners):
-                none = pa.nulls(len(owners), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(owners, pa.int64()), none, none, pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(starts, pa.int32()), pa.array(lengths, pa.int32()), pa.array(again, pa.bool_())],
-                    names=names,
-                )
+                if len(owners) >= SLICE:
+                    yield found_spans(*columns)
+                    for c in columns:
+                        del c[:]
             if sizes:  # one row for each text: no hash, its id and tie, and its number of sentences
                 n, none = len(sizes), pa.nulls(len(sizes), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), batch.column(2), none, none, pa.array([-1] * n, pa.int32()), pa.array(sizes, pa.int32()), pa.array([False] * n)],
-                    names=names,
-                )
+                numbers = [pa.array([-1] * n, pa.int32()), pa.array(np.array(sizes)), pa.array([False] * n)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), none, none, *numbers], names=names)
+        if owners:
+            yield found_spans(*columns)
 
-    return run
+    return cut
 
 
 def _covered(spans_column: str):
@@ -102,10 +109,10 @@ def _covered(spans_column: str):
     return F.array_sort(F.array_distinct(F.flatten(F.transform(spans_column, lambda s: F.sequence(s["start"], s["start"] + s["length"] - 1)))))
 
 
-def _removed(numbered: DataFrame, row: str, min_words: int, text: str = "text", key: str = "doc_id") -> DataFrame:
+def _removed(numbered: DataFrame, row: str, min_words: int, run: int, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(row, doc_id, n_sentences, removed) for every row of `numbered`, docs with a number `row`."""
     source = numbered.select(row, whole_number(key).alias("doc_id"), F.xxhash64(text_of(text)), text_of(text))
-    table = materialise(source.mapInArrow(_cut(min_words), SPANS), "spans")
+    table = materialise(source.mapInArrow(_cut(min_words, run), SPANS), "spans")
     hashed = table.where("h1 is not null").select("row", "h1", "h2", "start", "length", "again")
     texts = table.where("h1 is null").select("row", "doc_id", "tie", F.col("length").alias("n_sentences"))
     several = hashed.groupBy("h1", "h2").agg(F.min("row").alias("low"), F.max("row").alias("high"), F.max("again").alias("twice"))
@@ -124,26 +131,26 @@ def _removed(numbered: DataFrame, row: str, min_words: int, text: str = "text",
     )
 
 
-def repeated_sentences(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text", key: str = "doc_id") -> DataFrame:
+def repeated_sentences(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text", key: str = "doc_id", run: int = RUN) -> DataFrame:
     """(doc_id, n_sentences, removed) for every row of `docs`; removed lists the numbers of the
     sentences under a repeated span that is not the first one.
 
     The first one is that of the smallest id, null ids last, of equal ids that of the smallest
     hash of the text, and in a text the earliest; of rows equal in both, one is the first.  Every
-    row is a text of its own.  Null, empty and short texts have no spans.  Other columns are not
-    read.
+    row is a text of its own.  Null, empty and short texts have no spans, an empty table gives no
+    rows.  Other columns are not read.
     """
     row = fresh_name("row")
-    return _removed(docs.withColumn(row, F.monotonically_increasing_id()), row, min_words, text, key).drop("row")
+    return _removed(docs.withColumn(row, F.monotonically_increasing_id()), row, min_words, run, text, key).drop("row")
 
 
-def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, count: str | None = None) -> DataFrame:
+def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, count: str | None = None, run: int = RUN) -> DataFrame:
     """All rows and columns of `docs`, with `text` freed of its repeated sentences.  With `count`,
     a column of that name tells how many were removed.  Null texts stay null.  The rows are
     written once, so that their numbers hold."""
     row, same, removed = fresh_name("row"), fresh_name("same"), fresh_name("removed")
     numbered = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    gone = _removed(numbered, row, min_words).where(F.size("removed") > 0)
+    gone = _removed(numbered, row, min_words, run).where(F.size("removed") > 0)
     gone = materialise(gone.select(F.col("row").alias(same), F.col("removed").alias(removed)), "removed-by-text")
     if (gone.agg(F.sum(F.size(removed))).first()[0] or 0) <= BROADCAST_SENTENCES:
         gone = sized(gone)
@@ -151,7 +158,8 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, count: str | Non
     @arrow_udf("string")
     def without(texts: pa.Array, removed: pa.Array) -> pa.Array:
         out = []
-        for text, numbers in zip(texts.to_pylist(), removed.to_pylist()):
+        for text, numbers in zip(texts, removed):
+            text, numbers = text.as_py(), numbers.as_py()
             if text is not None and numbers:
                 drop = set(numbers)
                 text = "".join(s for i, s in enumerate(sentences(text)) if i not in drop)

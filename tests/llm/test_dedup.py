@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import defaultdict
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -211,20 +212,51 @@ def test_contaminated_texts_go(spark, hard_texts, limit, monkeypatch):
     assert rows[10].startswith("It has several") and rows[8] == dict(hard_texts)[8]
 
 
+def brute_spans(text):
+    """(sentences under it, words) of every span, from all runs of sentences with words."""
+    pieces = [s.split() for s in repeats.sentences(text)]
+    at = [i for i, w in enumerate(pieces) if w]
+    for a, b in combinations(range(len(at) + 1), 2):
+        sizes = [len(pieces[i]) for i in at[a:b]]
+        if b - a == 3 or (b - a < 3 and sum(sizes) >= 16 and min(sum(sizes[1:]), sum(sizes[:-1])) < 16):
+            yield range(at[a], at[b - 1] + 1), tuple(tuple(pieces[i]) for i in at[a:b])
+
+
 def brute_repeats(texts):
     first, out = {}, {}
     for i in sorted({i for i, _ in texts if i is not None}):
         removed, own = set(), set()
         for t in (t for j, t in texts if j == i):
-            for start, length, digest in repeats.spans(t or "")[0]:
-                if digest in first and (first[digest] < i or digest in own):
-                    removed.update(range(start, start + length))
-                first.setdefault(digest, i)
-                own.add(digest)
+            for under, words in brute_spans(t or ""):
+                if words in first and (first[words] < i or words in own):
+                    removed.update(under)
+                first.setdefault(words, i)
+                own.add(words)
         out[i] = sorted(removed)
     return out
 
 
+def test_three_short_sentences_are_a_span(spark, monkeypatch):
+    """Runs of three repeated sentences go, shorter ones of few words stay; slices change nothing."""
+    lines = [(1, "One. Two!\n\nThree? Four."), (2, "New. One. Two! Three? Old."), (3, "One. Two! Other."), (4, "a\na\na\na\n"), (5, "Two! Three? Four. Five.")]
+    want = {1: [], 2: [1, 2, 3], 3: [], 4: [1, 2, 3], 5: [0, 1, 2]}
+    assert brute_repeats(lines) == want
+    for size in (1, 20_000):
+        monkeypatch.setattr(repeats, "SLICE", size)
+        got = {r.doc_id: list(r.removed) for r in repeats.repeated_sentences(docs_of(spark, lines)).collect()}
+        assert got == want
+    got = {r.doc_id: list(r.removed) for r in repeats.repeated_sentences(docs_of(spark, lines), run=2).collect()}
+    assert got[3] == [0, 1]
+
+
+def test_repeats_of_many_texts(spark):
+    rng = np.random.default_rng(8)
+    stock = [" ".join(f"w{n}" for n in rng.integers(0, 9, k)) + rng.choice([". ", "\n", "! "]) for k in (1, 1, 2, 3, 5, 8, 15, 16, 20)]
+    texts = [(i, "".join(rng.choice(stock, rng.integers(0, 12)))) for i in range(150)]
+    got = {r.doc_id: list(r.removed) for r in repeats.repeated_sentences(docs_of(spark, texts)).collect()}
+    assert got == brute_repeats(texts)
+
+
 def test_repeated_passages(spark, hard_texts):
     texts = [(i, t) for i, t in hard_texts if i is not None and i != 7] + [(30, f"{PASSAGE} {PASSAGE}"), (31, "Short. Text.")]
     got = {r.doc_id: list(r.removed) for r in repeats.repeated_sentences(docs_of(spark, texts)).collect()}
