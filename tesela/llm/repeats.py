@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .common import fresh_name, materialise, sized, text_of, whole_number
+from .common import drop_folder, fresh_name, materialise, sized, text_of, whole_number
 
 #: Sentences of a run, and words of a run of fewer sentences (0: there are no such runs).
 RUN = 3
@@ -36,7 +36,7 @@ SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?]+|\n|$)[\s]*")
 #: Up to so many removed sentences (four bytes each) are broadcast to the texts.
 BROADCAST_SENTENCES = 10_000_000
 
-SPANS = "row bigint, doc_id bigint, tie bigint, h1 bigint, h2 bigint, start int, length int, again boolean"
+SPANS = "row bigint, doc_id bigint, h1 bigint, h2 bigint, start int, length int, again boolean"
 
 
 def sentences(text: str) -> list[str]:
@@ -66,12 +66,12 @@ def spans(text: str, min_words: int = MIN_WORDS, run: int = RUN) -> tuple[list[t
 
 
 def _cut(min_words: int, run: int):
-    names = ["row", "doc_id", "tie", "h1", "h2", "start", "length", "again"]
+    names = ["row", "doc_id", "h1", "h2", "start", "length", "again"]
 
     def found_spans(owners, digests, starts, lengths, again):
         n, halves = len(owners), np.frombuffer(bytes(digests), np.int64).reshape(-1, 2)
         none = pa.nulls(n, pa.int64())
-        columns = [pa.array(np.array(owners)), none, none, pa.array(halves[:, 0]), pa.array(halves[:, 1])]
+        columns = [pa.array(np.array(owners)), none, pa.array(halves[:, 0]), pa.array(halves[:, 1])]
         columns += [pa.array(np.array(starts, np.int32)), pa.array(np.array(lengths, np.int32)), pa.array(np.array(again, bool))]
         return pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -79,7 +79,7 @@ def _cut(min_words: int, run: int):
         columns = owners, digests, starts, lengths, again = array("q"), bytearray(), array("i"), array("i"), array("b")
         for batch in batches:
             sizes = array("i")
-            for row, text in zip(batch.column(0), batch.column(3)):
+            for row, text in zip(batch.column(0), batch.column(2)):
                 row, (found, n) = row.as_py(), spans(text.as_py(), min_words, run)
                 seen = set()
                 for start, length, digest in found:
@@ -94,10 +94,10 @@ def _cut(min_words: int, run: int):
                     yield found_spans(*columns)
                     for c in columns:
                         del c[:]
-            if sizes:  # one row for each text: no hash, its id and tie, and its number of sentences
+            if sizes:  # one row for each text: no hash, its id, and its number of sentences
                 n, none = len(sizes), pa.nulls(len(sizes), pa.int64())
                 numbers = [pa.array([-1] * n, pa.int32()), pa.array(np.array(sizes)), pa.array([False] * n)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), none, none, *numbers], names=names)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), none, none, *numbers], names=names)
         if owners:
             yield found_spans(*columns)
 
@@ -109,26 +109,29 @@ def _covered(spans_column: str):
     return F.array_sort(F.array_distinct(F.flatten(F.transform(spans_column, lambda s: F.sequence(s["start"], s["start"] + s["length"] - 1)))))
 
 
-def _removed(numbered: DataFrame, row: str, min_words: int, run: int, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(row, doc_id, n_sentences, removed) for every row of `numbered`, docs with a number `row`."""
-    source = numbered.select(row, whole_number(key).alias("doc_id"), F.xxhash64(text_of(text)), text_of(text))
+def _numbered(docs: DataFrame, row: str, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """`docs` with a number `row` that goes by id, nulls last, and by the hash of the text, so that
+    of some rows the smallest number is the first.  Equal rows are dealt out by their place."""
+    place = fresh_name("place")
+    order = [whole_number(key).isNull(), whole_number(key), F.xxhash64(text_of(text)), F.col(place)]
+    placed = docs.withColumn(place, F.monotonically_increasing_id())
+    ordered = placed.repartitionByRange(*order).sortWithinPartitions(*order)
+    return ordered.drop(place).withColumn(row, F.monotonically_increasing_id())
+
+
+def _removed(numbered: DataFrame, row: str, min_words: int, run: int, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """The table of spans of `numbered`, docs with an ordered number `row`, and (row, removed) for
+    the rows that lose sentences, both written."""
+    source = numbered.select(row, whole_number(key).alias("doc_id"), text_of(text))
     table = materialise(source.mapInArrow(_cut(min_words, run), SPANS), "spans")
     hashed = table.where("h1 is not null").select("row", "h1", "h2", "start", "length", "again")
-    texts = table.where("h1 is null").select("row", "doc_id", "tie", F.col("length").alias("n_sentences"))
-    several = hashed.groupBy("h1", "h2").agg(F.min("row").alias("low"), F.max("row").alias("high"), F.max("again").alias("twice"))
-    several = materialise(several.where("low < high or twice").select("h1", "h2"), "repeated-spans")
-    members = materialise(hashed.join(several, ["h1", "h2"]), "members")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie", "row")
-    first = members.join(texts, "row").groupBy("h1", "h2").agg(F.min(order)["row"].alias("first_row"))
-    later = members.join(materialise(first, "first"), ["h1", "h2"]).where("row != first_row or again")
-    later = materialise(later.select("row", "start", "length"), "later-spans")
+    several = hashed.groupBy("h1", "h2").agg(F.min("row").alias("first_row"), F.max("row").alias("last_row"), F.max("again").alias("twice"))
+    several = materialise(several.where("first_row < last_row or twice").select("h1", "h2", "first_row"), "repeated-spans")
+    later = hashed.join(several, ["h1", "h2"]).where("row != first_row or again")
     gone = later.groupBy("row").agg(F.collect_set(F.struct("start", "length")).alias("spans")).select("row", _covered("spans").alias("removed"))
-    return texts.join(materialise(gone, "removed"), "row", "left").select(
-        "row",
-        "doc_id",
-        F.col("n_sentences").cast("long").alias("n_sentences"),
-        F.coalesce("removed", F.array().cast("array<int>")).alias("removed"),
-    )
+    gone = materialise(gone, "removed")
+    drop_folder(numbered.sparkSession, several)
+    return table, gone
 
 
 def repeated_sentences(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text", key: str = "doc_id", run: int = RUN) -> DataFrame:
@@ -141,7 +144,10 @@ def repeated_sentences(docs: DataFrame, min_words: int = MIN_WORDS, text: str =
     rows.  Other columns are not read.
     """
     row = fresh_name("row")
-    return _removed(docs.withColumn(row, F.monotonically_increasing_id()), row, min_words, run, text, key).drop("row")
+    table, gone = _removed(_numbered(docs, row, text, key), row, min_words, run, text, key)
+    texts = table.where("h1 is null").select("row", "doc_id", F.col("length").cast("long").alias("n_sentences"))
+    removed = F.coalesce("removed", F.array().cast("array<int>")).alias("removed")
+    return texts.join(gone, "row", "left").select("doc_id", "n_sentences", removed)
 
 
 def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, count: str | None = None, run: int = RUN) -> DataFrame:
@@ -149,9 +155,10 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, count: str | Non
     a column of that name tells how many were removed.  Null texts stay null.  The rows are
     written once, so that their numbers hold."""
     row, same, removed = fresh_name("row"), fresh_name("same"), fresh_name("removed")
-    numbered = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    gone = _removed(numbered, row, min_words, run).where(F.size("removed") > 0)
-    gone = materialise(gone.select(F.col("row").alias(same), F.col("removed").alias(removed)), "removed-by-text")
+    numbered = materialise(_numbered(docs, row), "numbered")
+    table, gone = _removed(numbered, row, min_words, run)
+    drop_folder(docs.sparkSession, table)
+    gone = gone.select(F.col("row").alias(same), F.col("removed").alias(removed))
     if (gone.agg(F.sum(F.size(removed))).first()[0] or 0) <= BROADCAST_SENTENCES:
         gone = sized(gone)
 
