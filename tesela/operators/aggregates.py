@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.classes import ordinal
 from ..functions.exact import exact_mean, exact_sum, rounded
+from ..session import materialise
 from .joins import attach
 from .quantiles import column_quantiles, quantiles, tukey_fences
 
@@ -185,8 +186,106 @@ def correlation_pairs(
 
 
 def correlation_matrix(df: DataFrame, columns: list[str], digits: int | None = 6) -> DataFrame:
-    """Lower triangle of the pairwise-complete correlation matrix, long format."""
-    return correlation_pairs(df, [(b, a) for a, b in combinations(columns, 2)], digits)
+    """Lower triangle of the pairwise-complete correlation matrix, long format.
+
+    One scan: every Arrow batch gives the counts, means and centred sums of products of all pairs
+    by a few matrix products over values and masks.  A task merges those of its batches and hands
+    on one row for each pair, so what is shuffled grows with pairs and tasks, not with rows.
+    Null when a side is constant or no row has both; NaN when a complete pair is not finite.
+    """
+    names = [(b, a) for a, b in combinations(columns, 2)]
+    if not names:
+        return df.sparkSession.createDataFrame([], "a string, b string, corr double")
+    values = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    parts = materialise(values.mapInArrow(_co_moments(len(columns)), _MOMENTS), "co-moments")
+    means = parts.groupBy("i", "j").agg(
+        (F.sum(F.col("n") * F.col("mi")) / F.sum("n")).alias("all_i"),
+        (F.sum(F.col("n") * F.col("mj")) / F.sum("n")).alias("all_j"),
+    )
+    di, dj, n = F.col("mi") - F.col("all_i"), F.col("mj") - F.col("all_j"), F.col("n")
+    merged = parts.join(means, ["i", "j"]).groupBy("i", "j").agg(
+        F.sum(F.col("cii") + n * di * di).alias("cii"),
+        F.sum(F.col("cjj") + n * dj * dj).alias("cjj"),
+        F.sum(F.col("cij") + n * di * dj).alias("cij"),
+        ((F.min("low_i") < F.max("high_i")) & (F.min("low_j") < F.max("high_j"))).alias("varies"),
+        F.sum("odd").alias("odd"),
+    )
+    # The product of the roots, since that of the sums may be beyond the range of doubles.
+    spread = F.nullif(F.sqrt("cii") * F.sqrt("cjj"), F.lit(0.0))
+    corr = F.when(F.col("odd") > 0, F.lit(float("nan"))).when(F.col("varies"), F.col("cij") / spread)
+    at = {c: k for k, c in enumerate(columns)}
+    pairs = df.sparkSession.createDataFrame([(a, b, at[b], at[a]) for a, b in names], "a string, b string, i int, j int")
+    return pairs.join(merged, ["i", "j"], "left").select("a", "b", rounded(corr, digits).alias("corr"))
+
+
+_MOMENTS = (
+    "i int, j int, n bigint, mi double, mj double, cii double, cjj double, cij double, "
+    "low_i double, high_i double, low_j double, high_j double, odd bigint"
+)
+
+
+def _co_moments(size: int):
+    """Worker function: the moments of all pairs i < j of the columns over one task's rows."""
+
+    def of_batch(batch):
+        import numpy as np
+
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        known = np.column_stack([np.asarray(c.is_valid()) for c in batch.columns])
+        x = np.column_stack(columns).astype(float)
+        finite = known & np.isfinite(x)
+        odd = (known & ~finite).astype(float)
+        m = finite.astype(float)
+        shift = np.where(finite, x, 0.0).sum(0) / np.maximum(m.sum(0), 1)
+        x = np.where(finite, x - shift, 0.0)
+        n = m.T @ m
+        some = np.maximum(n, 1)
+        mean = x.T @ m / some  # [i, j]: the mean of column i over the rows that know i and j
+        own = (x * x).T @ m - some * mean * mean
+        both = x.T @ x - some * mean * mean.T
+        low, high = np.full((size, size), np.inf), np.full((size, size), -np.inf)
+        for j in range(size):
+            rows = x[finite[:, j]]
+            if len(rows):
+                there = finite[finite[:, j]]
+                low[:, j] = np.where(there, rows, np.inf).min(0) + shift
+                high[:, j] = np.where(there, rows, -np.inf).max(0) + shift
+        known = known.astype(float)
+        return n, mean + shift[:, None], np.maximum(own, 0), both, low, high, odd.T @ known + known.T @ odd
+
+    def merge(a, b):
+        import numpy as np
+
+        n = a[0] + b[0]
+        some = np.maximum(n, 1)
+        apart = b[1] - a[1]
+        weight = a[0] * b[0] / some
+        mean = np.where(a[0] > 0, a[1] + apart * b[0] / some, b[1])
+        own = a[2] + b[2] + apart * apart * weight
+        both = a[3] + b[3] + apart * apart.T * weight
+        return n, mean, own, both, np.minimum(a[4], b[4]), np.maximum(a[5], b[5]), a[6] + b[6]
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                part = of_batch(batch)
+                total = part if total is None else merge(total, part)
+        if total is None:
+            return
+        n, mean, own, both, low, high, odd = total
+        i, j = np.triu_indices(size, 1)
+        seen = (n[i, j] > 0) | (odd[i, j] > 0)
+        i, j = i[seen], j[seen]
+        columns = [i.astype(np.int32), j.astype(np.int32), n[i, j].astype(np.int64), mean[i, j], mean[j, i], own[i, j], own[j, i], both[i, j]]
+        columns += [low[i, j], high[i, j], low[j, i], high[j, i], odd[i, j].astype(np.int64)]
+        names = "i j n mi mj cii cjj cij low_i high_i low_j high_j odd".split()
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
+    return run
 
 
 def pivot_means(

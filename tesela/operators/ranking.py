@@ -7,20 +7,78 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .joins import attach
-from .quantiles import cumulative_counts, ranges_for, value_counts
+from .quantiles import null_safe_join, ranges_for
+
 
 def average_rank_pct(
     df: DataFrame, column: str, out: str, digits: int = 2, by: list[str] | None = None
 ) -> DataFrame:
-    """Percentile rank in (0, 100]; equal values share the mean of their ranks; null stays null."""
+    """Percentile rank in (0, 100]; equal values share the mean of their ranks; null stays null.
+
+    Rows are dealt into ranges of (`by`, value) and written once; a value in a third of all rows
+    is spread over as many ranges as it fills.  Ranks inside a range count from its first row.
+    Only the runs of equal values at the two ends of a range can go on in other ranges, and what
+    they hold there follows from one short row for each range.  Nothing is joined by value.
+    """
     by = by or []
-    pairs = cumulative_counts(value_counts(df, column, by), by)
-    mean_rank = F.col("__before") + (F.col("__n") + 1) / F.lit(2.0)
-    share = F.round(mean_rank / F.col("__total") * 100, digits)
-    ranks = pairs.select(*by, "__value", share.alias(out))
-    keyed = df.withColumn("__value", F.col(column).cast("double"))
-    return attach(keyed, ranks, [*by, "__value"]).drop("__value")
+    value, salt, part = F.col(column).cast("double"), F.monotonically_increasing_id(), F.spark_partition_id()
+    keys = [F.col(c).asc_nulls_first() for c in by]
+    ranged = df.withColumns({"__value": value, "__salt": salt})
+    ranged = ranged.repartitionByRange(ranges_for(df.count()), *keys, F.col("__value").asc_nulls_first(), "__salt")
+    ranged = materialise(ranged.withColumn("__range", part).drop("__salt"), "rank-ranges")
+    known = ranged.where("__value is not null")
+    cell = [*by, "__range"]
+    inside = W.partitionBy(*cell).orderBy("__value")
+    counted = known.withColumns({
+        "__before": F.rank().over(inside) - 1,
+        "__n": F.count("*").over(inside.rangeBetween(W.currentRow, W.currentRow)),
+    })
+    placed = null_safe_join(counted, _range_ends(known, by), cell)
+    low, high = F.col("__value") == F.col("__low"), F.col("__value") == F.col("__high")
+    before = F.when(low, F.col("__low_before")).when(high, F.col("__high_before")).otherwise(F.col("__start") + F.col("__before"))
+    n = F.when(low, F.col("__low_n")).when(high, F.col("__high_n")).otherwise(F.col("__n"))
+    share = F.round((before + (n + 1) / F.lit(2.0)) / F.col("__total") * 100, digits)
+    kept = [F.col(f"`{c}`") for c in df.columns if c != out]
+    unknown = ranged.where("__value is null").select(*kept, F.lit(None).cast("double").alias(out))
+    return placed.select(*kept, share.alias(out)).unionByName(unknown)
+
+
+def _range_ends(known: DataFrame, by: list[str]) -> DataFrame:
+    """One row for each range and group: the rows of the group before it and in total, and for
+    its least and its greatest value the rows of the group below that value and at it."""
+    cell = [*by, "__range"]
+    ends = known.groupBy(*cell).agg(F.min("__value").alias("__low"), F.max("__value").alias("__high"), F.count("*").alias("__rows"))
+    ends = materialise(ends, "range-ends")
+    at = null_safe_join(known.select(*cell, "__value"), ends, cell)
+    at = at.groupBy(*cell, "__low", "__high", "__rows").agg(
+        F.count_if(F.col("__value") == F.col("__low")).alias("__at_low"),
+        F.count_if(F.col("__value") == F.col("__high")).alias("__at_high"),
+    )
+    # At most MOST_RANGES rows for each group, and one more for each further group of a range.
+    group = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
+    start = F.coalesce(F.sum("__rows").over(group.orderBy("__range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    at = at.withColumns({"__start": start, "__total": F.sum("__rows").over(group)})
+    one = F.col("__low") == F.col("__high")
+    after = F.col("__start") + F.col("__rows") - F.col("__at_high")
+
+    def end(side: str, below: Column, n: Column) -> Column:
+        fields = {"side": F.lit(side), "value": F.col(f"__{side}"), "below": below.cast("long"), "n": n.cast("long")}
+        return F.struct(*[c.alias(name) for name, c in fields.items()])
+
+    sides = F.array(end("low", F.col("__start"), F.col("__at_low")), end("high", after, F.when(one, 0).otherwise(F.col("__at_high"))))
+    sides = at.select(*cell, "__low", "__high", "__start", "__total", F.explode(sides).alias("s"))
+    same = W.partitionBy(*by, F.col("s.value"))
+    sides = sides.withColumns({"__below": F.min("s.below").over(same), "__at": F.sum("s.n").over(same)})
+
+    def of(side: str, what: str) -> Column:
+        return F.max(F.when(F.col("s.side") == side, F.col(what)))
+
+    return sides.groupBy(*cell, "__low", "__high", "__start", "__total").agg(
+        of("low", "__below").alias("__low_before"),
+        of("low", "__at").alias("__low_n"),
+        of("high", "__below").alias("__high_before"),
+        of("high", "__at").alias("__high_n"),
+    )
 
 
 def global_row_number(df: DataFrame, order: str, tie: str, out: str) -> DataFrame:

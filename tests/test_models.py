@@ -159,6 +159,23 @@ def test_importances_add_up(spark):
     assert sum(r.Importance for r in rows) == pytest.approx(1.0)
 
 
+def test_silhouettes_equal_those_of_each_labelling(spark):
+    from pyspark.ml.evaluation import ClusteringEvaluator
+    from pyspark.ml.functions import array_to_vector
+
+    from tesela.ml.models import silhouettes
+
+    points = spark.range(300, numPartitions=3).select(
+        array_to_vector(F.array(F.randn(1) + F.col("id") % 3, F.randn(2), F.lit(1.0))).alias("features"),
+        (F.col("id") % 3).cast("int").alias("k3"),
+        F.when(F.col("id") == 7, 5).otherwise(F.col("id") % 2).cast("int").alias("k2"),  # 7 is alone
+    )
+    judge = ClusteringEvaluator(metricName="silhouette", distanceMeasure="squaredEuclidean")
+    got = silhouettes(points, {3: "k3", 2: "k2"})
+    for k in (2, 3):
+        assert got[k] == pytest.approx(judge.setPredictionCol(f"k{k}").evaluate(points), abs=1e-9)
+
+
 def test_silhouettes(spark):
     rows = QUERIES["kmeans_elbow"](spark, SF).collect()
     assert [r.k for r in rows] == list(range(2, 9))

@@ -61,6 +61,36 @@ def test_average_rank(skewed, path):
     assert [r.p for r in ranks] == [25.0, 62.5, 62.5, 100.0]
 
 
+@pytest.mark.parametrize("size", [7, 20_000])
+def test_average_rank_over_ranges(spark, monkeypatch, size):
+    """Hot and nearly unique values, groups and nulls, in ranges that cut runs of equal values."""
+    monkeypatch.setattr(quantiles, "PAIRS_PER_RANGE", size)
+    rng = np.random.default_rng(4)
+    v = np.where(rng.random(400) < 0.4, 3.0, np.where(rng.random(400) < 0.5, rng.random(400) * 6, rng.integers(0, 5, 400)))
+    pdf = pd.DataFrame({"id": range(400), "g": rng.choice(["a", "b"], 400, p=[0.9, 0.1]), "v": v})
+    pdf.loc[rng.random(400) < 0.1, "v"] = None
+    rows = [(int(i), None if i % 50 == 0 else g, None if pd.isna(x) else float(x)) for i, g, x in pdf.itertuples(index=False)]
+    df = spark.createDataFrame(rows, "id int, g string, v double")
+    pdf["g"] = [g or "" for _, g, _ in rows]
+    for by, want in ((None, pdf.v.rank(pct=True)), (["g"], pdf.groupby("g").v.rank(pct=True))):
+        ranked = ranking.average_rank_pct(df, "v", "p", digits=9, by=by)
+        assert ranked.columns == ["id", "g", "v", "p"]
+        got = {r.id: r.p for r in ranked.collect()}
+        assert len(got) == 400
+        for i, w in zip(pdf.id, want * 100):
+            assert (got[i] is None) if pd.isna(w) else abs(got[i] - w) < 1e-6
+    assert ranking.average_rank_pct(df.where("false"), "v", "p").count() == 0
+    again = ranking.average_rank_pct(df.withColumn("p", F.lit(1)), "v", "p")
+    assert again.columns == ["id", "g", "v", "p"] and again.where("v is null and p is null").count() == pdf.v.isna().sum()
+
+
+def test_average_rank_is_not_joined_by_value(spark, capsys):
+    df = spark.range(100).select("id", F.rand(1).alias("v"))
+    ranking.average_rank_pct(df, "v", "p").explain()
+    plan = capsys.readouterr().out
+    assert "hashpartitioning(__range" in plan and "hashpartitioning(__value" not in plan
+
+
 @pytest.mark.parametrize("tie", ["id", "name"])
 def test_global_row_number_and_ntile(skewed, tie):
     df, pdf = skewed
@@ -92,6 +122,30 @@ def test_imputation(spark):
     assert [tuple(r) for r in filled] == [(1.0, 0.0), (2.5, 0.0), (4.0, 0.0)]
 
 
+def test_correlations_of_many_columns(spark):
+    """Known pairs only, far from zero, over several partitions, with constant and empty sides."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(600, 100)) + 1e6 * rng.normal(size=100)
+    x[:, 1] = x[:, 0] * 2 + rng.normal(size=600)
+    x[rng.random((600, 100)) < 0.2] = np.nan
+    x[:, 98], x[:, 99] = 0.1, np.nan
+    names = [f"v.{i}" for i in range(100)]
+    rows = [[None if np.isnan(v) else float(v) for v in r] for r in x]
+    df = spark.createDataFrame(rows, ", ".join(f"`{n}` double" for n in names)).repartition(5)
+    got = {(r.a, r.b): r["corr"] for r in aggregates.correlation_matrix(df, names, None).collect()}
+    want = pd.DataFrame(x, columns=names).corr().to_numpy()
+    assert len(got) == 4950
+    for i in range(100):
+        for j in range(i):
+            value = got[names[i], names[j]]
+            assert value is None if i >= 98 else value == pytest.approx(want[i, j], abs=1e-9)
+    none = aggregates.correlation_matrix(df.where("false"), names[:3]).collect()
+    assert len(none) == 3 and all(r["corr"] is None for r in none)
+    odd = spark.createDataFrame([(1.0, float("nan"), 2.0), (2.0, 1.0, 4.0), (3.0, 5.0, 6.0)], "a double, b double, c double")
+    got = {(r.a, r.b): r["corr"] for r in aggregates.correlation_matrix(odd, ["a", "b", "c"]).collect()}
+    assert np.isnan(got["b", "a"]) and np.isnan(got["c", "b"]) and got["c", "a"] == 1.0
+
+
 def test_correlation_uses_complete_pairs(spark):
     df = spark.createDataFrame(
         [(1.0, 2.0, 5.0), (2.0, None, 5.0), (3.0, 7.0, 5.0), (4.0, 1.0, 5.0)], "a double, b double, c double"
