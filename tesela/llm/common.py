@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import sys
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tesela.session import fresh_path, materialise
 
-__all__ = ["drop_folder", "fresh_name", "fresh_path", "materialise", "read_table", "sized", "text_digest", "text_of", "whole_number"]
+__all__ = ["drop_folder", "fresh_name", "fresh_path", "give_back", "giving_back", "materialise", "read_table", "sized", "text_digest", "text_of", "whole_number"]
 
 #: Up to so many rows of a few short columns are broadcast; more are joined by shuffling.
 BROADCAST_ROWS = 500_000
@@ -26,6 +28,27 @@ def travels_by_value() -> None:
 travels_by_value()
 
 
+def give_back() -> None:
+    """Return to the system what this process has freed and its allocators keep."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
+def giving_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """`run` for a worker that Spark uses again for later stages: memory that the task has freed
+    goes back at its end."""
+
+    def task(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        give_back()
+
+    return task
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

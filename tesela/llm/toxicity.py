@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, text_of, whole_number
+from .common import giving_back, materialise, text_of, whole_number
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END = range(7)
 
@@ -237,7 +237,7 @@ def learn(docs: DataFrame, labels: DataFrame, part: int = 0, of: int = 5, sample
     Without toxic or without clean labels the fixed lexicon and judge are used.
     """
     rows = materialise(training_sample(docs, labels, "toxic", part, of, sample), "toxicity-sample")
-    counts = rows.mapInArrow(_count_units, "unit string, toxic long, clean long").groupBy("unit").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    counts = rows.mapInArrow(giving_back(_count_units), "unit string, toxic long, clean long").groupBy("unit").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     n = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if not n.get(1) or not n.get(0):
         return Model()
@@ -275,7 +275,7 @@ def _units_of_texts(rows: DataFrame, units: list[str]) -> list[set[int]]:
             found = [sorted(number[u] for u in _units(t.as_py()) if u in number) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32()))], names=["units"])
 
-    return [set(r["units"]) for r in rows.select("text").mapInArrow(run, "units array<int>").collect()]
+    return [set(r["units"]) for r in rows.select("text").mapInArrow(giving_back(run), "units array<int>").collect()]
 
 
 def fit_judge(rows: DataFrame, model: Model) -> list[float]:
@@ -288,7 +288,7 @@ def fit_judge(rows: DataFrame, model: Model) -> list[float]:
             x = [reader.features(t.as_py()) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column(1)], names=["x", "label"])
 
-    table = rows.mapInArrow(run, "x array<double>, label int").groupBy("x", "label").count().toPandas()  # rows of the sample at most
+    table = rows.mapInArrow(giving_back(run), "x array<double>, label int").groupBy("x", "label").count().toPandas()  # rows of the sample at most
     x, y, n = np.array(table["x"].tolist()).reshape(-1, 5), table["label"].to_numpy(float), table["count"].to_numpy(float)
     ridge = np.diag([1e-3, 0.05, 0.05, 0.05, 0.05]) * max(1.0, n.sum() / 100)
     beta = np.zeros(5)
@@ -315,17 +315,20 @@ def score(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id"
             scores = reader.scores([t.as_py() for t in batch.column(1)])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
-    return docs.select(whole_number(key).alias("doc_id"), text_of(text)).mapInArrow(run, "doc_id bigint, score double")
+    return docs.select(whole_number(key).alias("doc_id"), text_of(text)).mapInArrow(giving_back(run), "doc_id bigint, score double")
 
 
 def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of `docs`, all columns, whose texts score below 0.5."""
     from pyspark.sql.functions import arrow_udf
 
-    @arrow_udf("double")
-    def toxic(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def scores(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         reader = Reader(model)
         for texts in columns:
             yield pa.array(reader.scores(texts.to_pylist()), pa.float64())
 
+    @arrow_udf("double")
+    def toxic(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from giving_back(scores)(columns)
+
     return docs.where(toxic(text_of()) < 0.5)
