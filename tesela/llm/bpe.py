@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import text_of, whole_number
+from .common import give_back, giving_back, text_of, whole_number
 
 #: A block of documents ends after so many words, or so many different ones.
 BLOCK_WORDS = 3_000_000
@@ -35,6 +35,7 @@ GATHER = 250_000
 BLOCKS = "block string, doc_ids array<bigint>, lengths array<int>, places binary"
 WORDS = "block string, bucket int, words binary, slots binary"
 ENCODED = "block string, slots binary, counts binary, ids binary"
+DIGESTS = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -147,8 +148,9 @@ def _unpack_words(packed: bytes) -> list[bytes]:
     return [raw[a:b] for a, b in zip([4 + 4 * n, *ends], ends)]
 
 
-def _cut(pattern: str):
-    """Blocks of documents: (name, doc ids, their numbers of words, places, words by place)."""
+def _cut(pattern: str, placed: bool = True):
+    """Blocks of documents: (name, doc ids, their numbers of words, places, words by place);
+    without `placed` the places are left out."""
 
     def blocks(batches: Iterator[pa.RecordBatch]):
         import zlib
@@ -163,14 +165,16 @@ def _cut(pattern: str):
         def block():
             words = [w.encode() for w in slots]
             name = f"{part}-{len(ids)}-{total}-{zlib.crc32(b' '.join(words))}"
-            return name, ids, lengths, np.concatenate(places), words
+            return name, ids, lengths, np.concatenate(places) if placed else None, words
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 words = find(text.as_py())
                 ids.append(doc_id)
                 lengths.append(len(words))
-                places.append(np.fromiter(map(slots.__getitem__, words), np.uint32, len(words)))
+                at = np.fromiter(map(slots.__getitem__, words), np.uint32, len(words))
+                if placed:
+                    places.append(at)
                 total += len(words)
                 if total >= BLOCK_WORDS or len(slots) >= BLOCK_DISTINCT:
                     yield block()
@@ -201,7 +205,7 @@ def _dictionaries(pattern: str, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
 
-        for name, _, _, _, words in _cut(pattern)(batches):
+        for name, _, _, _, words in _cut(pattern, placed=False)(batches):
             order: dict[int, list[int]] = {}
             for slot, word in enumerate(words):
                 order.setdefault(zlib.crc32(word) % buckets, []).append(slot)
@@ -286,6 +290,16 @@ def _put_together(left: pa.Table, right: pa.Table) -> pa.Table:
     return pa.table({"doc_id": pa.chunked_array(doc_ids), "ids": pa.chunked_array(out)})
 
 
+def _blocks(docs: DataFrame, ranks, pattern: str, text: str = "text", key: str = "doc_id"):
+    """Blocks of documents as places beside the ids of their words, by name of the block."""
+    buckets = BUCKETS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    source = docs.select(whole_number(key).alias("doc_id"), text_of(text).alias("text"))
+    words = source.mapInArrow(giving_back(_dictionaries(pattern, buckets)), WORDS).repartition("bucket")
+    encoded = words.mapInArrow(giving_back(_encode_words(ranks)), ENCODED)
+    blocks = source.mapInArrow(giving_back(_places(pattern)), BLOCKS)
+    return blocks.groupBy("block").cogroup(encoded.groupBy("block"))
+
+
 def encode(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Token ids of every whole text: (doc_id, ids), one row per row of `docs`.
 
@@ -293,18 +307,8 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", k
     other columns of `docs` are not read.  An empty table gives an empty result.  `docs` is read
     twice and must come in the same order both times, as a stored table does.
     """
-    spark = docs.sparkSession
-    buckets = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranks = spark.sparkContext.broadcast(read_ranks(vocabulary))
-    source = docs.select(whole_number(key).alias("doc_id"), text_of(text).alias("text"))
-    words = source.mapInArrow(_dictionaries(pattern, buckets), WORDS).repartition("bucket")
-    encoded = words.mapInArrow(_encode_words(ranks), ENCODED)
-    blocks = source.mapInArrow(_places(pattern), BLOCKS)
-    return (
-        blocks.groupBy("block")
-        .cogroup(encoded.groupBy("block"))
-        .applyInArrow(_put_together, "doc_id bigint, ids array<int>")
-    )
+    ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(vocabulary))
+    return _blocks(docs, ranks, pattern, text, key).applyInArrow(_put_together, "doc_id bigint, ids array<int>")
 
 
 class TokenBytes:
@@ -343,7 +347,19 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
             decoded = pa.array([table.join(ids) for ids in _id_lists(batch.column(1))], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), decoded], names=["doc_id", "decoded"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, decoded binary")
+    return encoded.select("doc_id", "ids").mapInArrow(giving_back(run), "doc_id bigint, decoded binary")
+
+
+def _digest(batch: pa.RecordBatch, table: TokenBytes) -> pa.RecordBatch:
+    counts, of_ids, of_bytes = [], [], []
+    for ids in _id_lists(batch.column(1)):
+        counts.append(len(ids))
+        of_ids.append(hashlib.sha256(ids.astype("<u4")).hexdigest())
+        of_bytes.append(hashlib.sha256(table.join(ids)).hexdigest())
+    return pa.RecordBatch.from_arrays(
+        [batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())],
+        names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    )
 
 
 def digests(encoded: DataFrame, vocabulary: str) -> DataFrame:
@@ -354,19 +370,23 @@ def digests(encoded: DataFrame, vocabulary: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = TokenBytes(ranks.value)
         for batch in batches:
-            counts, of_ids, of_bytes = [], [], []
-            for ids in _id_lists(batch.column(1)):
-                counts.append(len(ids))
-                of_ids.append(hashlib.sha256(ids.astype("<u4")).hexdigest())
-                of_bytes.append(hashlib.sha256(table.join(ids)).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+            yield _digest(batch, table)
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return encoded.select("doc_id", "ids").mapInArrow(giving_back(run), DIGESTS)
 
 
 def round_trip(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
-    """Encode all texts, decode the ids, and return the digests of both."""
-    return digests(encode(docs, vocabulary, pattern), vocabulary)
+    """Encode all texts, decode the ids, and return the digests of both, as `digests` of `encode`
+    gives them; the ids of a block are decoded where they were put together."""
+    ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(vocabulary))
+    schema = pa.schema({"doc_id": pa.int64(), "n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()})
+    tables: list[TokenBytes] = []  # one in each task
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not tables:
+            tables.append(TokenBytes(ranks.value))
+        found = [_digest(batch, tables[0]) for batch in _put_together(left, right).to_batches()]
+        give_back()
+        return pa.Table.from_batches(found, schema)
+
+    return _blocks(docs, ranks, pattern).applyInArrow(run, DIGESTS)
