@@ -173,6 +173,12 @@ def table_summary(spark, sf):
     return files.table_summary(_all(spark, sf))
 
 
+@query("table_preview", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 20")
+def table_preview(spark, sf):
+    """The preview rows that the summary of a table shows."""
+    return files.preview(_all(spark, sf)["orders"], ["o_orderkey"])
+
+
 SCHEMAS = {
     "region": "r_regionkey int, r_name string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",

@@ -78,6 +78,12 @@ def table_summary(tables: dict[str, DataFrame]) -> DataFrame:
     return _union(rows)
 
 
+def preview(table: DataFrame, order: list[str], rows: int = 20) -> DataFrame:
+    """The first rows of a table by `order`, for a summary to show beside the counts; columns that
+    tell all rows apart make the same rows appear on any layout."""
+    return table.orderBy(*order).limit(rows)
+
+
 def schema_listing(tables: dict[str, DataFrame]) -> DataFrame:
     """Position, name, type and number of known values of every column of every table."""
     parts = []

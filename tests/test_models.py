@@ -231,6 +231,21 @@ def test_raw_rows_get_all_scores(spark):
     assert pred.between(0, 500).all()
 
 
+def test_single_students_are_scored_from_dicts(spark):
+    from tesela.catalog import models as catalog
+    from tesela.catalog import roles
+    from tesela.ml.models import score_records
+
+    raw = roles.landed(spark, SF, "students").orderBy(catalog.ID).limit(3)
+    fitted, levels = catalog._scores(spark, SF)[0], roles.levels(spark, SF)
+    records = [r.asDict() for r in raw.collect()]
+    got = score_records(fitted, [*records, {}], levels, catalog.ID)
+    want = {r[catalog.ID]: r for r in QUERIES["score_raw_rows"](spark, SF).collect()}
+    for record, scores in zip(records, got):
+        assert scores == {t: want[record[catalog.ID]][f"pred_{t}"] for t in fitted}
+    assert set(got[3]) == set(fitted) and all(0 <= v <= 500 for v in got[3].values())
+
+
 def test_predictions_stand_beside_scores(spark):
     rows = QUERIES["gbt_predictions"](spark, SF).groupBy("target").count().collect()
     assert len(rows) == 6 and all(r["count"] > 0 for r in rows)
