@@ -249,3 +249,18 @@ def one_of_each(docs: DataFrame, judged: DataFrame) -> DataFrame:
     single = left.join(sized(repeats), key == F.col(name), "left_anti")
     one = left.join(sized(repeats), key == F.col(name), "left_semi").withColumn(name, key).dropDuplicates([name]).drop(name)
     return single.unionByName(one)
+
+
+def one_of_each_part(docs: DataFrame, plain: DataFrame, found: DataFrame) -> DataFrame:
+    """Of each component one row of `docs`, all columns: that of the smallest id, null ids last,
+    of equal ids the one with the smallest digest.  `plain` has (doc_id, text_sha256, node) of
+    every row, `found` (node, component) of the nodes that have links."""
+    several = plain.groupBy("node").count().where("count > 1").select("node")
+    involved = several.unionByName(found.select("node")).distinct().join(found, "node", "left")
+    involved = materialise(involved.select("node", F.coalesce("component", "node").alias("part")), "involved")
+    placed = plain.join(sized(involved), "node")
+    placed = materialise(placed.select("part", F.struct("doc_id", "text_sha256").alias("_key")), "placed")
+    order = F.struct(F.col("_key.doc_id").isNull(), F.col("_key"))
+    first = placed.groupBy("part").agg(F.min(order)["_key"].alias("first"))
+    judged = placed.join(materialise(first, "first"), "part").select("_key", F.col("_key").eqNullSafe(F.col("first")).alias("kept"))
+    return one_of_each(docs, judged)

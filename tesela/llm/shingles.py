@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .common import giving_back, materialise, sized, text_digest, text_of, whole_number
 from .components import components
-from .exact_dedup import one_of_each
+from .exact_dedup import one_of_each_part
 from .simhash import BROADCAST_KEYS, shingle_hashes
 
 WIDTH, LEAST = 5, 0.8
@@ -132,6 +132,18 @@ def _confirmed(docs: DataFrame, sets: DataFrame, pairs: DataFrame, width: int, l
     return materialise(met.select("a", "b"), "confirmed")
 
 
+def _ordered(pairs: DataFrame) -> DataFrame:
+    """Different pairs (a, b), a the smaller, of (node, hub)."""
+    return pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+
+
+def _hub_links(docs: DataFrame, sets: DataFrame, pairs: DataFrame, sketches: DataFrame, width: int, least: float) -> tuple[DataFrame, DataFrame]:
+    """The pairs, and those of them that reach the coefficient."""
+    x, y = sketches.alias("x"), sketches.alias("y")
+    near = pairs.join(x, F.col("a") == F.col("x.node")).join(y, F.col("b") == F.col("y.node")).where(_differing("x", "y") <= APART)
+    return pairs, _confirmed(docs, sets, materialise(near.select("a", "b"), "near-hubs"), width, least)
+
+
 def links_of(docs: DataFrame, sets: DataFrame, width: int = WIDTH, least: float = LEAST) -> DataFrame:
     """Links (a, b) that connect all candidates among `sets` whose coefficient is `least` or more.
 
@@ -144,19 +156,30 @@ def links_of(docs: DataFrame, sets: DataFrame, width: int = WIDTH, least: float
     members = materialise(keys.join(sized(materialise(shared, "shared-keys"), BROADCAST_KEYS), "key"), "members")
     sketches = materialise(members.select("node", *SKETCH).distinct(), "sketches")
 
-    hubs = members.select("node", F.explode(F.array("low", "high")).alias("hub")).where("node != hub")
-    hubs = materialise(hubs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct(), "hub-pairs")
-    x, y = sketches.alias("x"), sketches.alias("y")
-    near = hubs.join(x, F.col("a") == F.col("x.node")).join(y, F.col("b") == F.col("y.node")).where(_differing("x", "y") <= APART)
-    to_hub = _confirmed(docs, sets, materialise(near.select("a", "b"), "near-hubs"), width, least)
+    # Each member is first compared with one text, the end of most of its buckets; the ends of the
+    # buckets that this leaves open follow.
+    ends = members.select("key", "node", F.explode(F.array("low", "high")).alias("hub")).where("node != hub")
+    counted = ends.groupBy("node", "hub").agg(F.count("*").alias("n"))
+    best = counted.groupBy("node").agg(F.max_by("hub", F.struct("n", "hub")).alias("hub"))
+    first, linked = _hub_links(docs, sets, materialise(_ordered(best), "first-pairs"), sketches, width, least)
+    parts = materialise(components(linked), "first-components")
+    part_of = lambda c: parts.toDF(f"_{c}", f"_part_{c}")
+    left = ends.join(part_of("node"), F.col("node") == F.col("_node"), "left").join(part_of("hub"), F.col("hub") == F.col("_hub"), "left")
+    left = left.where(F.coalesce("_part_node", "node") != F.coalesce("_part_hub", "hub"))
+    rest = _ordered(left).join(first, ["a", "b"], "left_anti")
+    rest, more = _hub_links(docs, sets, materialise(rest, "hub-pairs"), sketches, width, least)
+    hubs, to_hub = first.unionByName(rest), linked.unionByName(more)
 
     found = materialise(components(to_hub), "hub-components").withColumnRenamed("node", "_node")
     placed = members.join(found, F.col("node") == F.col("_node"), "left").select("key", "node", *SKETCH, F.coalesce("component", "node").alias("part"))
     placed = materialise(placed, "placed")
     mixed = placed.groupBy("key").agg(F.min("part").alias("_low"), F.max("part").alias("_high")).where("_low != _high").select("key")
-    open_ = materialise(placed.join(mixed, "key", "left_semi"), "open")
+    open_ = placed.join(mixed, "key", "left_semi")
+    open_ = materialise(open_.join(open_.groupBy("node").agg(F.array_sort(F.collect_list("key")).alias("open_keys")), "node"), "open")
     x, y = open_.alias("x"), open_.alias("y")
-    across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.part") < F.col("y.part")) & (_differing("x", "y") <= APART))
+    # A pair meets once, in the first bucket that it has in common.
+    here = F.array_min(F.array_intersect("x.open_keys", "y.open_keys")) == F.col("x.key")
+    across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.part") < F.col("y.part")) & (_differing("x", "y") <= APART) & here)
     across = across.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(hubs, ["a", "b"], "left_anti")
     across = across.join(hubs.toDF("b", "a"), ["a", "b"], "left_anti")
     return to_hub.unionByName(_confirmed(docs, sets, materialise(across, "across"), width, least))
@@ -175,13 +198,4 @@ def keep_one(docs: DataFrame, width: int = WIDTH, least: float = LEAST) -> DataF
     source = docs.select(whole_number().alias("doc_id"), text_digest().alias("text_sha256"), text_of())
     rows = materialise(source.mapInArrow(giving_back(_cut(width)), SETS), "shingle-sets")
     found = materialise(components(links_of(docs, rows, width, least)), "components")
-    plain = rows.select("doc_id", "text_sha256", "node")
-    several = plain.groupBy("node").count().where("count > 1").select("node")
-    involved = several.unionByName(found.select("node")).distinct().join(found, "node", "left")
-    involved = materialise(involved.select("node", F.coalesce("component", "node").alias("part")), "involved")
-    placed = plain.join(sized(involved), "node")
-    placed = materialise(placed.select("part", F.struct("doc_id", "text_sha256").alias("_key")), "placed")
-    order = F.struct(F.col("_key.doc_id").isNull(), F.col("_key"))
-    first = placed.groupBy("part").agg(F.min(order)["_key"].alias("first"))
-    judged = placed.join(materialise(first, "first"), "part").select("_key", F.col("_key").eqNullSafe(F.col("first")).alias("kept"))
-    return one_of_each(docs, judged)
+    return one_of_each_part(docs, rows.select("doc_id", "text_sha256", "node"), found)

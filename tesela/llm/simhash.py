@@ -23,8 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh_name, materialise, sized, text_of, whole_number
+from .common import fresh_name, giving_back, materialise, sized, text_digest, text_of, whole_number
 from .components import components
+from .exact_dedup import one_of_each_part
 
 #: The generator polynomial of the cyclic (23, 12) Golay code.
 GENERATOR = 0b110001110101
@@ -63,15 +64,20 @@ def fingerprint(text: bytes, width: int = 4) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 4, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(doc_id, print) for every row of `docs`; print is the fingerprint as a signed number."""
+def _printed(width: int):
+    """The columns before the last, which is the text, and its fingerprint in its place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(t.as_py().encode(), width) for t in batch.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "print"])
+            found = np.array([fingerprint(t.as_py().encode(), width) for t in batch.columns[-1]], np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found.view(np.int64))], names=[*batch.schema.names[:-1], "print"])
+
+    return run
 
-    return docs.select(whole_number(key).alias("doc_id"), text_of(text)).mapInArrow(run, "doc_id bigint, print bigint")
+
+def fingerprints(docs: DataFrame, width: int = 4, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(doc_id, print) for every row of `docs`; print is the fingerprint as a signed number."""
+    return docs.select(whole_number(key).alias("doc_id"), text_of(text)).mapInArrow(_printed(width), "doc_id bigint, print bigint")
 
 
 def golay_tables() -> tuple[np.ndarray, np.ndarray]:
@@ -191,3 +197,13 @@ def keep_first(docs: DataFrame, width: int = 4, most: int = 4) -> DataFrame:
     gone = fresh_name("gone")
     rest = near_duplicates(docs, width, most).where("doc_id != component_id").select(F.col("doc_id").alias(gone)).distinct()
     return docs.join(sized(materialise(rest, "gone")), whole_number() == F.col(gone), "left_anti")
+
+
+def keep_one(docs: DataFrame, width: int = 4, most: int = 4) -> DataFrame:
+    """Of each component of fingerprints one row of `docs`, all columns: that of the smallest id,
+    null ids last, of equal ids the one with the smallest digest."""
+    source = docs.select(whole_number().alias("doc_id"), text_digest().alias("text_sha256"), text_of())
+    rows = materialise(source.mapInArrow(giving_back(_printed(width)), "doc_id bigint, text_sha256 string, print bigint"), "fingerprints")
+    prints = materialise(rows.groupBy("print").agg(F.count("*").alias("n")), "prints")
+    found = materialise(components(links_of(prints, most)), "components")
+    return one_of_each_part(docs, rows.withColumnRenamed("print", "node"), found)
