@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import giving_back, materialise, sized, text_digest, text_of, whole_number
@@ -119,19 +119,56 @@ def _differing(a: str, b: str):
     return sum((F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))) for s in SKETCH), F.lit(0))
 
 
-def _confirmed(docs: DataFrame, sets: DataFrame, pairs: DataFrame, width: int, least: float) -> DataFrame:
-    """The pairs (a, b) of sets that reach the coefficient; `sets` has the digest of one text of each."""
+def _sets_of(docs: DataFrame, sets: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """(node, shingles) of some nodes; `sets` has the digest of one text of each."""
     of_set = sets.groupBy("node").agg(F.min("text_sha256").alias("text_sha256"))
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = materialise(of_set.join(materialise(nodes, "pair-nodes"), "node"), "wanted")
     texts = docs.select(text_digest().alias("text_sha256"), text_of().alias("text")).join(sized(wanted), "text_sha256")
     texts = texts.dropDuplicates(["node"]).select("node", "text")
-    cut = materialise(texts.mapInArrow(giving_back(_sets(width)), "node bigint, shingles array<bigint>"), "pair-sets")
-    # The sets are compared row by row where the joins bring them together.
+    return materialise(texts.mapInArrow(giving_back(_sets(width)), "node bigint, shingles array<bigint>"), "pair-sets")
+
+
+def _reaching(pairs: DataFrame, cut: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) of sets that reach the coefficient.  The sets are compared row by row
+    where the joins bring them together."""
     met = pairs.join(cut.toDF("a", "set_a"), "a").join(cut.toDF("b", "set_b"), "b").where(_similar("set_a", "set_b", least))
     return materialise(met.select("a", "b"), "confirmed")
 
 
+def _confirmed(docs: DataFrame, sets: DataFrame, pairs: DataFrame, width: int, least: float) -> DataFrame:
+    """The pairs (a, b) of nodes whose sets reach the coefficient."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    return _reaching(pairs, _sets_of(docs, sets, nodes, width), least)
+
+
+def _prefix_pairs(cut: DataFrame, part_of: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b), a the smaller, of all sets (node, shingles) of different parts that may reach
+    the coefficient c: none that does is left out.
+
+    Sets have the shingles that few sets hold first.  Of a pair with c or more the larger set, of
+    n, has c * n in common with the smaller one, and that of m at least 2c / (1 + c) * m with the
+    larger one; so the first that they have in common stands before the last so many of each, and
+    what follows it in either set makes up the c / (1 + c) * (n + m) that they need in common.
+    """
+    tokens = materialise(cut.select("node", F.size("shingles").alias("size"), F.explode("shingles").alias("token")), "tokens")
+    held = materialise(tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), "held")
+    # Shingles that no other set holds come first and meet nothing: their number is enough.
+    known = tokens.join(held, "token")
+    shared = materialise(known.groupBy("node").agg(F.count("*").alias("known")), "known")
+    # No set has more in common with others than its shared ones.
+    able = shared.join(tokens.select("node", "size").distinct(), "node").where(F.col("known") >= F.lit(least) * F.col("size") - F.lit(1e-9))
+    places = F.row_number().over(Window.partitionBy("node").orderBy("n", "token")) - 1 + F.col("size") - F.col("known")
+    placed = known.join(able.select("node", "known"), "node").withColumn("left", F.col("size") - places)
+    placed = placed.where(F.col("left") >= F.lit(least) * F.col("size") - F.lit(1e-9)).select("token", "node", "size", "left")
+    placed = materialise(placed.join(part_of, "node"), "prefixes")
+    of_both = 2 * least / (1 + least)
+    x, y = placed.alias("x"), placed.where(F.col("left") >= F.lit(of_both) * F.col("size") - F.lit(1e-9)).alias("y")
+    enough = F.least("x.left", "y.left") >= F.lit(of_both / 2) * (F.col("x.size") + F.col("y.size")) - F.lit(1e-9)
+    larger = F.struct("x.size", "x.node") > F.struct("y.size", "y.node")
+    met = x.join(y, (F.col("x.token") == F.col("y.token")) & larger & (F.col("x.part") != F.col("y.part")) & enough)
+    return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     """Different pairs (a, b), a the smaller, of (node, hub)."""
     return pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
@@ -148,7 +185,8 @@ def links_of(docs: DataFrame, sets: DataFrame, width: int = WIDTH, least: float
     """Links (a, b) that connect all candidates among `sets` whose coefficient is `least` or more.
 
     As for fingerprints the members of a bucket are first compared with two of them; only
-    members that this leaves in different components are then compared with each other.
+    members that this leaves in different components are then compared with each other, and of
+    them only those whose rare shingles allow for the coefficient.
     """
     one = sets.dropDuplicates(["node"]).select("node", "keys", *SKETCH)
     keys = materialise(one, "different-sets").select("node", *SKETCH, F.explode("keys").alias("key"))
@@ -171,18 +209,13 @@ def links_of(docs: DataFrame, sets: DataFrame, width: int = WIDTH, least: float
     hubs, to_hub = first.unionByName(rest), linked.unionByName(more)
 
     found = materialise(components(to_hub), "hub-components").withColumnRenamed("node", "_node")
-    placed = members.join(found, F.col("node") == F.col("_node"), "left").select("key", "node", *SKETCH, F.coalesce("component", "node").alias("part"))
+    placed = members.join(found, F.col("node") == F.col("_node"), "left").select("key", "node", F.coalesce("component", "node").alias("part"))
     placed = materialise(placed, "placed")
     mixed = placed.groupBy("key").agg(F.min("part").alias("_low"), F.max("part").alias("_high")).where("_low != _high").select("key")
-    open_ = placed.join(mixed, "key", "left_semi")
-    open_ = materialise(open_.join(open_.groupBy("node").agg(F.array_sort(F.collect_list("key")).alias("open_keys")), "node"), "open")
-    x, y = open_.alias("x"), open_.alias("y")
-    # A pair meets once, in the first bucket that it has in common.
-    here = F.array_min(F.array_intersect("x.open_keys", "y.open_keys")) == F.col("x.key")
-    across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.part") < F.col("y.part")) & (_differing("x", "y") <= APART) & here)
-    across = across.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(hubs, ["a", "b"], "left_anti")
-    across = across.join(hubs.toDF("b", "a"), ["a", "b"], "left_anti")
-    return to_hub.unionByName(_confirmed(docs, sets, materialise(across, "across"), width, least))
+    open_ = materialise(placed.join(mixed, "key", "left_semi").select("node", "part").distinct(), "open")
+    cut = _sets_of(docs, sets, open_.select("node"), width)
+    across = _prefix_pairs(cut, open_, least).join(hubs, ["a", "b"], "left_anti")
+    return to_hub.unionByName(_reaching(materialise(across, "across"), cut, least))
 
 
 def keep_one(docs: DataFrame, width: int = WIDTH, least: float = LEAST) -> DataFrame:

@@ -13,7 +13,7 @@ def _words(seed: int, n: int) -> list[str]:
     return [f"w{i}" for i in np.random.default_rng(seed).integers(0, 5000, n)]
 
 
-def _changed(words: list[str], at: range, mark: str) -> list[str]:
+def _changed(words: list[str], at, mark: str) -> list[str]:
     return [f"{mark}{i}" if i in at else w for i, w in enumerate(words)]
 
 
@@ -50,3 +50,43 @@ def test_close_copies_are_not_paired_with_every_hub(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert sorted(map(tuple, shingles.keep_one(docs).collect())) == sorted(brute_similar(rows))
     assert sum(met) < 2 * len(rows)
+
+
+def test_a_family_of_texts_below_the_coefficient_is_not_paired_off(spark, monkeypatch):
+    """Texts of one family that share bands but lie apart, some close pairs of them without a hub, and sets of other sizes."""
+    base, rows = _words(7, 150), []
+    for i in range(240):
+        places = np.random.default_rng(900 + i).choice(150, 4, replace=False).tolist()
+        rows.append((i, " ".join(_changed(base, places, f"f{i}_"))))
+    for i in range(0, 60, 3):
+        words = rows[i][1].split()
+        rows.append((1000 + i, " ".join(words[:140] if i % 2 else [*words, f"end{i}"])))
+    rows += [(2000, "one two"), (2001, "One  two"), (2002, ""), (2003, None)]
+    met, write = [], shingles.materialise
+
+    def counted(df, label):
+        table = write(df, label)
+        if label == "across":
+            met.append(table.count())
+        return table
+
+    monkeypatch.setattr(shingles, "materialise", counted)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(map(tuple, shingles.keep_one(docs).collect()), key=str) == brute_similar(rows)
+    assert len(met) == 1 and met[0] < 10 * len(rows)
+
+
+def test_prefixes_leave_no_pair_out(spark):
+    """All pairs of sets at or above the coefficient are among those that meet, at the bounds too."""
+    rng, sets = np.random.default_rng(3), []
+    for size in (1, 2, 4, 5, 9, 10, 36, 45):
+        one = rng.choice(60, size, replace=False).tolist()
+        for _ in range(12):
+            gone = rng.integers(0, 1 + size // 5)
+            sets.append(sorted({*one[gone:], *rng.choice(70, rng.integers(0, 1 + size // 4), replace=False).tolist()}))
+    sets = [s for s in map(list, {tuple(s) for s in sets}) if s]
+    cut = spark.createDataFrame(list(enumerate(sets)), "node bigint, shingles array<bigint>")
+    part_of = spark.createDataFrame([(i, i) for i in range(len(sets))], "node bigint, part bigint")
+    for least in (0.8, 0.9, 1.0):
+        want = {(a, b) for b in range(len(sets)) for a in range(b) if len({*sets[a]} & {*sets[b]}) >= least * len({*sets[a]} | {*sets[b]}) - 1e-9}
+        assert want <= {tuple(r) for r in shingles._prefix_pairs(cut, part_of, least).collect()}
