@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tesela.catalog import QUERIES, roles
 from tesela.functions.parse import parse_number
 from tesela.ml import models
-from tesela.plans import cleaning
+from tesela.plans import cleaning, municipal
 from tesela.plans import contract as C
 
 SF = "/root/testdata/sf0.001"
@@ -87,3 +87,16 @@ def test_large_features_lie_in_several_parts(spark, monkeypatch):
     table = models.dealt(spark.range(1000, numPartitions=1).toDF("id"), "id", "dealt")
     assert len(table.inputFiles()) > 5 and table.count() == 1000 and table.distinct().count() == 1000
     assert len(models.dealt(spark.range(90, numPartitions=1).toDF("id"), "id", "dealt").inputFiles()) == 1
+
+
+def test_municipal_tables_are_short_before_percentiles_and_medians(spark):
+    """Levels, medians and the results read the joined short table: students and accesses are summed once."""
+    years = [(f"{k:05d}", y) for k in range(6) for y in (2020, 2021)]
+    access = spark.createDataFrame([(k, y, float(int(k) + i), 10.0 * i) for k, y in years for i in range(3)], "cod_municipio_norm string, year_int int, no_de_accesos double, velocidad_bajada double")
+    coverage = spark.createDataFrame([(k, y, 100.0, None, "m", "d") for k, y in years], "cod_municipio_norm string, year_int int, poblaci_n_5_16 double, cobertura_neta double, municipio string, departamento string")
+    students = spark.createDataFrame([(k, y, "Estrato 2", 200.0 + i) for k, y in years[1:] for i in range(2)], "cod_municipio_norm string, year_icfes int, fami_estratovivienda string, punt_global double")
+    levels = municipal.connectivity(access, coverage, error=None)
+    table = municipal.anomaly_features(levels, students, access, error=None)
+    assert levels.count() == 12 and table.count() == 11
+    for short in (levels, table):
+        assert "Aggregate" not in short._jdf.queryExecution().optimizedPlan().toString()
